@@ -25,6 +25,7 @@ def drop_removed(df: DataFrame, column: str) -> DataFrame:
 
 
 def english_stop_words() -> list[str]:
+    """Spark's own English list. Needs a running session."""
     return StopWordsRemover.loadDefaultStopWords("english")
 
 

@@ -36,7 +36,11 @@ def running_totals(
     order = F.desc if descending else F.asc
     picks = counted.select(key).orderBy(F.xxhash64(key), key).limit(ranges - 1)
     cuts = picks.agg(F.sort_array(F.collect_list(key)).alias("cuts")).scalar()
-    ranged = counted.withColumn("_range", F.size(F.filter(cuts, lambda cut: cut < F.col(key))))
+    ranged = (
+        counted.withColumn("_cuts", cuts)
+        .withColumn("_range", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(key))), F.lit(0)))
+        .drop("_cuts")
+    )
 
     sums = ranged.groupBy("_range").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
     earlier = W.orderBy(order("_range")).rowsBetween(W.unboundedPreceding, -1)

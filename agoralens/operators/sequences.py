@@ -16,7 +16,7 @@ def micros(ts: str | Column) -> Column:
 def sessions(
     df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: float
 ) -> DataFrame:
-    """One row per session of a key: rows less than the gap apart belong together.
+    """One row per session of a key: rows at most the gap apart belong together.
 
     Rows are first added up per gap-long slot; rows in one slot are always one session. So the
     ordered step sees at most one row per key and slot, whatever the number of rows of a key.
@@ -30,7 +30,7 @@ def sessions(
     )
     order = W.partitionBy(*keys).orderBy("_slot")
     before = F.lag("_last").over(order)
-    opens = F.coalesce((F.col("_first") - before >= gap).cast("int"), F.lit(1))
+    opens = F.coalesce((F.col("_first") - before > gap).cast("int"), F.lit(1))
     numbered = slots.withColumn("_opens", opens).withColumn(
         "_session", F.sum("_opens").over(order.rowsBetween(W.unboundedPreceding, 0))
     )
