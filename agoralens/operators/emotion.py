@@ -61,10 +61,10 @@ def wide_counts(
     documents without a match need a single aggregation instead of three and a join back. Rows of
     a document sit together and collapse before the shuffle.
     """
-    words = F.filter(tokens, lambda w: w != "")
-    exploded = docs.select(
-        id_col, *keep, F.size(words).alias("n_tokens"), F.explode_outer(words).alias("word")
-    )
+    # Counted before the explode: an expression next to it would run once per token.
+    counted = docs.select(id_col, *keep, F.filter(tokens, lambda w: w != "").alias("_words"))
+    counted = counted.withColumn("n_tokens", F.size("_words"))
+    exploded = counted.select(id_col, *keep, "n_tokens", F.explode_outer("_words").alias("word"))
     flags = lexicon_by_word(lexicon, emotions)
     joined = lookup_join(exploded, flags, ["word"], "left", max_broadcast_rows)
     sums = [F.coalesce(F.sum(e), F.lit(0)).alias(f"{e}_count") for e in emotions]

@@ -133,15 +133,15 @@ def summary_long(df: DataFrame, column: str) -> DataFrame:
     """`describe_long` of one column with its exact quartiles."""
     base = describe_long(df, [column])
     marks = quantiles(df, column, [0.25, 0.5, 0.75]).agg(
-        *[
-            F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name)
-            for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
-        ]
-    )
-    # One row on each side; scalar subqueries put them next to each other.
-    return base.select(
-        "*", *[marks.select(name).scalar().alias(name) for name in ("p25", "p50", "p75")]
+        F.struct(
+            *[
+                F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name)
+                for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
+            ]
+        ).alias("marks")
     )
+    # One row on each side; a scalar subquery puts them next to each other.
+    return base.withColumn("_marks", marks.scalar()).select(*base.columns, "_marks.*")
 
 
 def corr_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -206,9 +206,9 @@ def histogram(
     The last bin includes the maximum. `by` splits the counts by another column.
     """
     seen = df.where(F.col(column).isNotNull())
-    low = seen.agg(F.min(column).cast("double").alias("low")).scalar()
-    high = seen.agg(F.max(column).cast("double").alias("high")).scalar()
-    width = (high - low) / F.lit(bins)
+    ends = F.struct(F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high"))
+    edges = seen.agg(ends.alias("edges")).scalar()
+    low, width = edges["low"], (edges["high"] - edges["low"]) / F.lit(bins)
     place = F.floor(F.try_divide(F.col(column).cast("double") - low, width)).cast("int")
     place = F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.coalesce(place, F.lit(0))))
     keys = [place.alias("bin")] + ([F.col(by)] if by else [])

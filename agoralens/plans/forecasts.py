@@ -1 +1,110 @@
-"""Registers questions."""
+"""Daily volume of posts and its forecast on the test tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from agoralens.operators import forecast, ml, split
+from agoralens.plans import roles
+from agoralens.plans.overview import settled
+from agoralens.plans.registry import question
+from agoralens.sources.scratch import cut_lineage
+
+_DAILY = "daily AS (SELECT o_orderdate::date AS date, count(*) AS n_posts FROM orders GROUP BY 1)"
+_FILLED = """filled AS (
+  SELECT d.date, coalesce(n_posts, 0) AS n_posts
+  FROM (SELECT unnest(generate_series((SELECT min(date) FROM daily), (SELECT max(date) FROM daily),
+                                      INTERVAL 1 DAY))::date AS date) d LEFT JOIN daily USING (date))"""
+
+
+def _features_sql(source: str, last: int) -> str:
+    lags = ", ".join(f"lag(n_posts, {k}) OVER w AS lag_{k}" for k in forecast.LAGS)
+
+    def frame(days: int) -> str:
+        bound = "CURRENT ROW" if last == 0 else "1 PRECEDING"
+        return f"(ORDER BY date ROWS BETWEEN {days - 1 - last} PRECEDING AND {bound})"
+
+    means = ", ".join(
+        f"round(avg(n_posts) OVER {frame(d)} + 1e-9, 6) AS rolling_mean_{d}" for d in forecast.MEAN_DAYS
+    )
+    spreads = ", ".join(
+        f"round(stddev_samp(n_posts) OVER {frame(d)} + 1e-9, 6) AS rolling_std_{d}"
+        for d in forecast.SPREAD_DAYS
+    )
+    return f"""features AS (
+  SELECT * FROM (
+    SELECT date, n_posts, (dayofweek(date) + 1)::int AS day_of_week, month(date)::int AS month,
+           dayofyear(date)::int AS day_of_year, (dayofweek(date) IN (0, 6))::int AS is_weekend,
+           {lags}, {means}, {spreads},
+           round(sin(2 * pi() * dayofyear(date) / 365.0) + 1e-9, 6) AS fourier_sin_1,
+           round(cos(2 * pi() * dayofyear(date) / 365.0) + 1e-9, 6) AS fourier_cos_1
+    FROM {source} WINDOW w AS (ORDER BY date))
+  WHERE lag_28 IS NOT NULL)"""
+
+
+_ROUNDED = [c for c in forecast.FEATURES if c.startswith(("rolling", "fourier"))]
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast.daily_counts(roles.bare_posts(spark, sf_dir))
+
+
+@question(f"WITH {_DAILY} SELECT * FROM daily")
+def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _daily(spark, sf_dir)
+
+
+@question(f"WITH {_DAILY}, {_features_sql('daily', 0)} SELECT * FROM features")
+def daily_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lags by row and rolling frames that include the day itself."""
+    return settled(forecast.daily_features(_daily(spark, sf_dir), include_current=True), 6, *_ROUNDED)
+
+
+def _forecast_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lags by calendar day and rolling frames that end the day before."""
+    return forecast.daily_features(forecast.with_missing_days(_daily(spark, sf_dir)))
+
+
+@question(f"WITH {_DAILY}, {_FILLED}, {_features_sql('filled', -1)} SELECT * FROM features")
+def daily_forecast_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settled(_forecast_features(spark, sf_dir), 6, *_ROUNDED)
+
+
+@question(f"""
+WITH {_DAILY}, {_FILLED}, {_features_sql('filled', -1)},
+placed AS (SELECT date, row_number() OVER (ORDER BY date) AS r, count(*) OVER () AS n FROM features)
+SELECT date, CASE WHEN r <= floor(n * 0.7) THEN 'train' WHEN r <= floor(n * 0.85) THEN 'validation'
+                  ELSE 'test' END AS split
+FROM placed""")
+def chronological_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = split.chronological_split(_forecast_features(spark, sf_dir))
+    return out.select("date", "split")
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Training and validation days together, and test days. Day-level, written once."""
+    days = cut_lineage(split.chronological_split(_forecast_features(spark, sf_dir)))
+    names = F.col("split")
+    train = days.where(names == "train").unionByName(days.where(names == "validation"))
+    return train, days.where(names == "test")
+
+
+@question()
+def forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _parts(spark, sf_dir)
+    return forecast.compare_models(forecast.predictions(forecast.fit_models(train), test))
+
+
+@question()
+def forecast_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _parts(spark, sf_dir)
+    fitted = forecast.estimators()["RandomForestRegressor"].fit(train).stages[-1]
+    return ml.importances_table(spark, forecast.FEATURES, fitted.featureImportances.toArray())
+
+
+@question()
+def forecast_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual and predicted posts per test day of the ridge model."""
+    train, test = _parts(spark, sf_dir)
+    model = forecast.estimators()["RidgeRegression"].fit(train)
+    return forecast.predictions({"RidgeRegression": model}, test).orderBy("date")

@@ -10,7 +10,7 @@ from agoralens.operators import engagement, ordering, sequences, split, stats, t
 from agoralens.plans import roles
 from agoralens.plans.registry import question
 from agoralens.sources import ingest, tables
-from agoralens.sources.scratch import new_folder
+from agoralens.sources.scratch import cut_lineage, new_folder
 
 
 def settled(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -130,6 +130,11 @@ def _lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.join(roles.post_meta(spark, sf_dir), "id", "left")
 
 
+def _stored_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written once: questions that pass over lengths several times read texts once."""
+    return cut_lineage(_lengths(spark, sf_dir))
+
+
 LENGTHS = f"""lengths AS (
   SELECT t.id, {_LENGTH_SQL} AS post_length, length(title || ' ' || selftext)::int AS chars,
          CASE WHEN regexp_matches(lower(selftext), 'the.?re|tion') THEN 'the'
@@ -146,7 +151,7 @@ SELECT p AS probability, round(v + 1e-9, 4) AS value
 FROM (SELECT unnest([0.5::double, 0.9, 0.95, 0.99]) AS p,
              unnest(quantile_cont(post_length, [0.5, 0.9, 0.95, 0.99])) AS v FROM lengths)""")
 def quantiles_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ordering.quantiles(_lengths(spark, sf_dir), "post_length", [0.5, 0.9, 0.95, 0.99])
+    out = ordering.quantiles(_stored_lengths(spark, sf_dir), "post_length", [0.5, 0.9, 0.95, 0.99])
     return settled(out, 4, "value")
 
 
@@ -199,7 +204,7 @@ edges AS (SELECT min(x)::double AS lo, max(x)::double AS hi, (max(x) - min(x)) /
 SELECT bin, round(lo + bin * w + 1e-9, 4) AS bin_start, round(lo + (bin + 1) * w + 1e-9, 4) AS bin_end, n
 FROM (SELECT least(39, floor((x - lo) / w))::int AS bin, count(*) AS n FROM kept, edges GROUP BY 1), edges""")
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = stats.clip_at_quantile(_lengths(spark, sf_dir), {"post_length": 0.95})
+    kept = stats.clip_at_quantile(_stored_lengths(spark, sf_dir), {"post_length": 0.95})
     return settled(stats.histogram(kept, "post_length", 40), 4, "bin_start", "bin_end")
 
 
@@ -211,7 +216,7 @@ FROM lengths
 WHERE post_length > 0 AND post_length <= (SELECT quantile_cont(post_length, 0.95) FROM lengths)
 GROUP BY 1""")
 def binned_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = stats.clip_at_quantile(_lengths(spark, sf_dir), {"post_length": 0.95})
+    kept = stats.clip_at_quantile(_stored_lengths(spark, sf_dir), {"post_length": 0.95})
     kept = kept.where(F.col("post_length") > 0)
     return settled(stats.binned_mean(kept, "post_length", "num_comments", 25), 4, "x_avg", "y_avg")
 

@@ -1 +1,103 @@
-"""Registers questions."""
+"""Streams over the files of the test tables, run to the end of what is there."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from agoralens.plans import roles
+from agoralens.plans.registry import question
+from agoralens.sources.tables import read_table_stream
+from agoralens.streaming import counts, stateful
+from agoralens.streaming.run import to_table
+
+
+def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    schema = roles.table(spark, sf_dir, name).schema
+    return read_table_stream(spark, f"{sf_dir}/{name}.parquet", schema)
+
+
+def _zoneless(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+_WATERMARK = (
+    "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE AS mark FROM events)"
+)
+
+
+@question("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def stream_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _stream(spark, sf_dir, "events")
+    return to_table(counts.running_counts(events, "event_type"), "complete", "running")
+
+
+@question(f"""
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n
+FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n
+      FROM events GROUP BY 1, 2), {_WATERMARK}
+WHERE window_start + INTERVAL 1 HOUR <= mark""")
+def stream_tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows the watermark has closed."""
+    events = _stream(spark, sf_dir, "events")
+    out = counts.windowed_counts(events, "ts", "1 hour", keys=["event_type"])
+    return _zoneless(to_table(out, "append", "tumbling"), "window_start", "window_end")
+
+
+@question(f"""
+SELECT window_start, window_start + INTERVAL 2 HOUR AS window_end, n
+FROM (SELECT b - k * INTERVAL 30 MINUTE AS window_start, count(*) AS n
+      FROM (SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS b FROM events), range(4) t(k) GROUP BY 1),
+     {_WATERMARK}
+WHERE window_start + INTERVAL 2 HOUR <= mark""")
+def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _stream(spark, sf_dir, "events")
+    out = counts.windowed_counts(events, "ts", "2 hours", "30 minutes")
+    return _zoneless(to_table(out, "append", "sliding"), "window_start", "window_end")
+
+
+_SESSIONS = """
+WITH marked AS (
+  SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 30 MINUTE
+                             OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS opens
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+numbered AS (SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts
+             ROWS UNBOUNDED PRECEDING) AS s FROM marked),
+sessions AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
+                    count(*) AS n_events, max(ts) AS last_ts, min(ts) AS first_ts
+             FROM numbered GROUP BY user_id, s)"""
+
+
+@question(f"""{_SESSIONS}
+SELECT user_id, session_start, session_end,
+       round((epoch_us(last_ts) - epoch_us(first_ts)) / 1000000.0 + 1800, 6) AS duration_seconds, n_events
+FROM sessions, {_WATERMARK} WHERE session_end <= mark""")
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _stream(spark, sf_dir, "events")
+    out = to_table(counts.sessions(events, "ts", "user_id", "30 minutes"), "append", "sessions")
+    out = out.withColumn("duration_seconds", F.round("duration_seconds", 6))
+    return _zoneless(out, "session_start", "session_end")
+
+
+@question(f"""
+WITH {roles.LEXICON},
+scores AS (SELECT word, CASE emotion WHEN 'positive' THEN 1 ELSE -1 END AS value
+           FROM lexicon WHERE emotion IN ('positive', 'negative')),
+words AS (SELECT unnest({roles.tokens_sql('text')}) AS word FROM conversations)
+SELECT word, value, count(*) AS n, count(*) * value AS score
+FROM words JOIN scores USING (word) GROUP BY word, value ORDER BY score DESC, encode(word) LIMIT 5""")
+def stream_happiest_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lexicon = roles.lexicon(spark, sf_dir).where(F.col("emotion").isin("positive", "negative"))
+    scores = lexicon.select(
+        "word", F.when(F.col("emotion") == "positive", 1).otherwise(-1).alias("value")
+    )
+    said = _stream(spark, sf_dir, "conversations")
+    return counts.happiest_words(to_table(counts.word_sentiment(said, "text", scores), "complete", "words"))
+
+
+@question("""
+SELECT user_id::varchar AS key, count(*) AS n_events FROM events GROUP BY 1""")
+def stream_stateful_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows folded into state per user: the progress rows of all batches, added up."""
+    events = _stream(spark, sf_dir, "events")
+    out = to_table(stateful.stateful_sessions(events, "ts", "user_id", 86_400 * 60), "update", "state")
+    return out.groupBy("key").agg(F.max("n_events").alias("n_events"))

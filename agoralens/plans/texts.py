@@ -22,6 +22,7 @@ from agoralens.operators.emotion import EMOTIONS
 from agoralens.plans import roles
 from agoralens.plans.overview import settled
 from agoralens.plans.registry import question
+from agoralens.sources.scratch import cut_lineage
 
 # ---- cleaning --------------------------------------------------------------------------------
 
@@ -306,6 +307,7 @@ FROM (SELECT least(49, floor((x - lo) / w)) AS bin, count(*) AS n FROM d, edges
 def emotion_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many of 50 bins of anger density are in use, and rows in them."""
     scored = emotion.densities(_wide(spark, sf_dir), "matched")
+    scored = cut_lineage(scored.select("anger_density"))
     bins = stats.histogram(scored, "anger_density", 50)
     return bins.agg(F.sum("n").alias("n"), F.count("*").alias("bins"))
 
@@ -342,6 +344,8 @@ r AS (SELECT *, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1)
 def sentiment_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = emotion.polarity(emotion.densities(_wide(spark, sf_dir), "matched"))
     joined = scored.select("id", "polarity").join(roles.post_meta(spark, sf_dir), "id")
+    # Ranks pass over the scores several times; the texts are read once.
+    joined = cut_lineage(joined.select("polarity", "score", "num_comments"))
     out = engagement.sentiment_correlation(joined, "polarity", ["score", "num_comments"])
     return settled(out, 6, "pearson", "slope", "r2", "spearman")
 

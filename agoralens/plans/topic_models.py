@@ -1 +1,78 @@
-"""Registers questions."""
+"""Topic models on the test tables. Model outputs have no SQL twin."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from agoralens.functions.text import joined_tokens, tokenize
+from agoralens.operators import topics
+from agoralens.plans import roles
+from agoralens.plans.registry import question
+from agoralens.sources.scratch import cut_lineage
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token lists of all text posts, written once because LDA passes over them many times."""
+    posts = roles.post_texts(spark, sf_dir)
+    joined = posts.select("id", joined_tokens(tokenize("selftext")).alias("clean_text"))
+    return cut_lineage(topics.word_tokens(joined))
+
+
+@question()
+def topic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topics.describe(topics.fit_topics(_docs(spark, sf_dir)))
+
+
+@question()
+def topic_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    return topics.assign(topics.fit_topics(docs), docs).select("id", "top_topic", "top_share")
+
+
+@question()
+def topic_prevalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    return topics.prevalence(topics.assign(topics.fit_topics(docs), docs))
+
+
+@question()
+def topic_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and a sample document per topic."""
+    docs = _docs(spark, sf_dir)
+    model = topics.fit_topics(docs)
+    samples = topics.samples(topics.assign(model, docs))
+    return topics.summary_with_sample(topics.summary(topics.describe(model)), samples)
+
+
+@question()
+def topic_ranked_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    described = topics.describe(topics.fit_topics(_docs(spark, sf_dir)))
+    return topics.ranked_words(topics.summary(described))
+
+
+@question("""
+WITH first AS (SELECT source, min(doc_id) AS id FROM documents GROUP BY 1)
+SELECT d.source AS top_topic, d.doc_id AS id, d.text AS clean_text
+FROM documents d JOIN first f ON f.id = d.doc_id""")
+def group_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First document of each source, as topics are sampled."""
+    documents = roles.table(spark, sf_dir, "documents")
+    return topics.samples(
+        documents.select(
+            F.col("doc_id").alias("id"), F.col("text").alias("clean_text"),
+            F.col("source").alias("top_topic"),
+        )
+    )
+
+
+@question()
+def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Non-zero terms and weight sum of each text post."""
+    weighted = topics.tfidf(_docs(spark, sf_dir))
+    weights = F.filter(vector_to_array("tfidf"), lambda w: w > 0)
+    return weighted.select(
+        "id",
+        F.size(weights).alias("n_terms"),
+        F.round(F.aggregate(weights, F.lit(0.0), lambda a, w: a + w), 4).alias("weight"),
+    )
