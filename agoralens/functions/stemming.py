@@ -8,7 +8,7 @@ While a word is worked on, a `y` that acts as a vowel is written `Y`.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F
 
@@ -92,34 +92,55 @@ def _tidy_up(word: Column) -> Column:
 
 def _final_y(word: Column) -> Column:
     rest = _but(word, 1)
-    return F.when(word.rlike("[yY]$") & rest.rlike(VOWEL), F.concat(rest, F.lit("i"))).otherwise(word)
+    ends = word.endswith("y") | word.endswith("Y")
+    return F.when(ends & rest.rlike(VOWEL), F.concat(rest, F.lit("i"))).otherwise(word)
+
+
+def _by_suffix(
+    word: Column, suffixes: Iterable[str], shortest: int, change: Callable[[str, Column], Column]
+) -> Column:
+    """Apply `change(suffix, rest)` for the longest suffix the word has.
+
+    Words below the shortest length that could change are left at once, and suffixes are tried only
+    among those with the word's last letter, since most words have none of them.
+    """
+    by_letter: dict[str, list[str]] = {}
+    for suffix in longest_first(suffixes):
+        by_letter.setdefault(suffix[-1], []).append(suffix)
+    out = F.when(F.length(word) < shortest, word)
+    for letter, group in by_letter.items():
+        tried = None
+        for suffix in group:
+            new = change(suffix, _but(word, len(suffix)))
+            hit = word.endswith(suffix)
+            tried = F.when(hit, new) if tried is None else tried.when(hit, new)
+        out = out.when(word.endswith(letter), tried.otherwise(word))
+    return out.otherwise(word)
 
 
 def _replace_suffix(table: dict[str, str]) -> Callable[[Column], Column]:
+    # A rest with measure above 0 has two letters at least.
+    shortest = min(map(len, table)) + 2
+
     def step(word: Column) -> Column:
-        out = None
-        for suffix in longest_first(table):
-            rest = _but(word, len(suffix))
-            new = F.when(rest.rlike(MEASURE_ABOVE_0), F.concat(rest, F.lit(table[suffix])))
-            hit = word.endswith(suffix)
-            new = new.otherwise(word)
-            out = F.when(hit, new) if out is None else out.when(hit, new)
-        return out.otherwise(word)
+        def change(suffix: str, rest: Column) -> Column:
+            new = F.concat(rest, F.lit(table[suffix]))
+            return F.when(rest.rlike(MEASURE_ABOVE_0), new).otherwise(word)
+
+        return _by_suffix(word, table, shortest, change)
 
     return step
 
 
 def _drop_suffix(word: Column) -> Column:
-    out = None
-    for suffix in longest_first(STEP_4):
-        rest = _but(word, len(suffix))
+    def change(suffix: str, rest: Column) -> Column:
         fits = rest.rlike(MEASURE_ABOVE_1)
         if suffix == "ion":
             fits = fits & rest.rlike("[st]$")
-        hit = word.endswith(suffix)
-        new = F.when(fits, rest).otherwise(word)
-        out = F.when(hit, new) if out is None else out.when(hit, new)
-    return out.otherwise(word)
+        return F.when(fits, rest).otherwise(word)
+
+    # A rest with measure above 1 has four letters at least.
+    return _by_suffix(word, STEP_4, min(map(len, STEP_4)) + 4, change)
 
 
 def _final_e(word: Column) -> Column:
@@ -143,7 +164,11 @@ def stem_tokens(tokens: Column) -> Column:
     def guarded(step: Callable[[Column], Column]) -> Callable[[Column], Column]:
         return lambda w: F.when(F.length(w) > 2, step(w)).otherwise(w)
 
-    tokens = F.transform(tokens, guarded(lambda w: F.regexp_replace(w, "([^aeiou])y", "$1Y")))
+    def mark(w: Column) -> Column:
+        marked = F.regexp_replace(w, "([^aeiou])y", "$1Y")
+        return F.when(w.contains("y"), marked).otherwise(w)
+
+    tokens = F.transform(tokens, guarded(mark))
     tokens = F.transform(tokens, guarded(_plural))
     tokens = F.transform(tokens, lambda w: _past_and_progressive(w))
     tokens = F.transform(tokens, lambda w: _tidy_up(w))
@@ -152,7 +177,10 @@ def stem_tokens(tokens: Column) -> Column:
         _final_double_l,
     ):
         tokens = F.transform(tokens, step)
-    return F.transform(tokens, lambda w: F.replace(w, F.lit("Y"), F.lit("y")))
+    def unmark(w: Column) -> Column:
+        return F.when(w.contains("Y"), F.replace(w, F.lit("Y"), F.lit("y"))).otherwise(w)
+
+    return F.transform(tokens, unmark)
 
 
 def stem(word: str | Column) -> Column:

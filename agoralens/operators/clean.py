@@ -11,6 +11,7 @@ from agoralens.functions.stemming import stem, stem_tokens
 from agoralens.functions.text import (
     document_text,
     drop_words,
+    each_word,
     is_removed,
     joined_tokens,
     json_safe,
@@ -67,5 +68,5 @@ def clean_comments(
 
 def stemmed_vocabulary(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Distinct words with their stem and count; each word is stemmed once."""
-    words = df.select(F.explode(tokens).alias("word")).groupBy("word")
+    words = each_word(df, tokens).groupBy("word")
     return words.agg(F.count("*").alias("n")).withColumn("stem", stem("word"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from agoralens.functions.numbers import ratio
 from agoralens.functions.stemming import stem
+from agoralens.functions.text import each_word
 from agoralens.operators.lookups import BROADCAST_ROWS, lookup_join
 from agoralens.operators.stats import stack_rows
 
@@ -33,7 +34,7 @@ def match_lexicon(
     docs: DataFrame, lexicon: DataFrame, *, id_col: str = "id", tokens: str = "tokens"
 ) -> DataFrame:
     """(id, word, emotion) for every token found in the lexicon, once per emotion of the word."""
-    words = docs.select(id_col, F.explode(tokens).alias("word")).where(F.col("word") != "")
+    words = each_word(docs, tokens, id_col)
     return lookup_join(words, lexicon.select("word", "emotion"), ["word"])
 
 

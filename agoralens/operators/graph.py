@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
-from agoralens.operators.lookups import hot_keys, spread_join, spread_lookup, spread_rows
-from agoralens.sources.scratch import cut_lineage
+from agoralens.operators.lookups import HOT_SHARE, spread_join, spread_lookup, spread_rows
+from agoralens.sources.scratch import cut_lineage, new_folder
+from agoralens.sources.tables import write_bucketed
 
 
 def pagerank(
@@ -22,14 +25,24 @@ def pagerank(
     times the shares sent to it. Nodes nobody links to drop out after the first round, unless
     `keep_unlinked` keeps them at 1 - damping.
 
-    The edges are split by source once, with the edges of very large sources spread over parts;
-    shares are added up before they are shuffled to their target.
+    The edges are written once as a table bucketed by source, with those of very large sources
+    spread over parts, and are not shuffled again: a round moves one row per source and, added up
+    beforehand, one per task and target. Ranks are stored every `checkpoint_every` rounds.
     """
-    distinct = edges.select("src", "dst").distinct()
-    out = distinct.groupBy("src").agg(F.count("*").alias("_out"))
-    hot = cut_lineage(hot_keys(distinct, ["src"]))
-    links = cut_lineage(spread_rows(distinct, hot, ["src"]))
-    sources = cut_lineage(out)
+    distinct = cut_lineage(edges.select("src", "dst").distinct())
+    sources = cut_lineage(distinct.groupBy("src").agg(F.count("*").alias("_out")))
+    total = sources.agg(F.sum("_out").alias("total")).scalar()
+    hot = sources.where(F.col("_out") * F.lit(HOT_SHARE) > total).select(
+        "src", F.lit(True).alias("_hot")
+    )
+    spark = edges.sparkSession
+    table = f"links_{uuid.uuid4().hex}"
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_bucketed(
+        spread_rows(distinct, hot, ["src"]).repartition(tasks, "src", "_part"),
+        table, ["src", "_part"], tasks, path=new_folder(spark, "links"),
+    )
+    links = spark.table(table)
     nodes = links.select(F.col("src").alias("node")).union(links.select("dst")).distinct()
 
     ranks = sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
@@ -44,8 +57,9 @@ def pagerank(
         ranks = received.select(
             "node", (F.col("_sum") * damping + F.lit(1 - damping)).alias("rank")
         )
-        if step % checkpoint_every == 0 and step < iterations:
+        if step % checkpoint_every == 0 or step == iterations:
             ranks = cut_lineage(ranks)
+    spark.sql(f"DROP TABLE {table}")
     return ranks
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from agoralens.functions.numbers import ratio
-from agoralens.functions.text import count_marks
+from agoralens.functions.text import count_marks, each_word
 
 
 def style_features(df: DataFrame, raw: str = "raw_text", tokens: str = "tokens") -> DataFrame:
@@ -14,7 +14,7 @@ def style_features(df: DataFrame, raw: str = "raw_text", tokens: str = "tokens")
     Readability is tokens per sentence mark; a text without a mark counts as one sentence.
     """
     n_tokens = F.greatest(F.size(tokens), F.lit(1))
-    marks = F.greatest(count_marks(raw, r"\.!?"), F.lit(1))
+    marks = F.greatest(count_marks(raw, ".!?"), F.lit(1))
     return df.withColumns(
         {
             "post_length_tokens": F.size(tokens),
@@ -39,8 +39,14 @@ def lexical_features(df: DataFrame, tokens: str = "tokens", title: str = "title"
     )
 
 
-def word_counts(df: DataFrame, group: str = "engagement", tokens: str = "tokens") -> DataFrame:
-    words = df.select(group, F.explode(tokens).alias("word"))
+def word_counts(
+    df: DataFrame, group: str = "engagement", tokens: str = "tokens", keep_empty: bool = False
+) -> DataFrame:
+    """Words per group. `keep_empty` also counts the empty tokens of a joined text."""
+    if keep_empty:
+        words = df.select(group, F.explode(tokens).alias("word"))
+    else:
+        words = each_word(df, tokens, group)
     return words.groupBy(group, "word").agg(F.count("*").alias("count"))
 
 

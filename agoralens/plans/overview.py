@@ -132,7 +132,7 @@ def _lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, written once: questions that pass over lengths several times read texts once."""
-    return cut_lineage(_lengths(spark, sf_dir))
+    return cut_lineage(_lengths(spark, sf_dir).select("post_length", "num_comments"))
 
 
 LENGTHS = f"""lengths AS (

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agoralens.functions.text import document_text
 from agoralens.operators.emotion import EMOTIONS
-from agoralens.sources.tables import read_table
+from agoralens.sources.tables import read_table, spread_few_files
 
 # Ordered stand-in rules for invented words.
 DEMO_TOPIC_RULES = (("the", "the.?re|tion"), ("ing", "ing"), ("ou", "ou"))
@@ -59,8 +59,12 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumnRenamed("ts", "created")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_few_files(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def post_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("community"),
         F.substring_index("text", "\n", 1).alias("title"),

@@ -16,13 +16,14 @@ from agoralens.functions.stemming import (
     longest_first,
     stem_tokens,
 )
-from agoralens.functions.text import json_safe, joined_tokens, strip_markup, tokenize
+from agoralens.functions.text import each_word, json_safe, joined_tokens, strip_markup, tokenize
 from agoralens.operators import clean, emotion, engagement, language, stats, temporal
 from agoralens.operators.emotion import EMOTIONS
 from agoralens.plans import roles
 from agoralens.plans.overview import settled
 from agoralens.plans.registry import question
 from agoralens.sources.scratch import cut_lineage
+from agoralens.sources.tables import spread_few_files
 
 # ---- cleaning --------------------------------------------------------------------------------
 
@@ -44,12 +45,13 @@ def _strip_markup_sql(x: str) -> str:
 
 @question(f"SELECT page_id, {_json_safe_sql('html')} AS safe FROM pages")
 def json_safe_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roles.table(spark, sf_dir, "pages").select("page_id", json_safe("html").alias("safe"))
+    pages = spread_few_files(roles.table(spark, sf_dir, "pages"), "page_id")
+    return pages.select("page_id", json_safe("html").alias("safe"))
 
 
 @question(f"SELECT page_id, {_strip_markup_sql('html')} AS raw_text FROM pages")
 def strip_markup_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = roles.table(spark, sf_dir, "pages")
+    pages = spread_few_files(roles.table(spark, sf_dir, "pages"), "page_id")
     return pages.select("page_id", strip_markup("html").alias("raw_text"))
 
 
@@ -63,7 +65,7 @@ def drop_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @question(f"SELECT doc_id, array_to_string({roles.tokens_sql('text')}, '@') AS tokens FROM documents")
 def tokenized_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = roles.table(spark, sf_dir, "documents")
+    documents = roles.documents(spark, sf_dir)
     return documents.select("doc_id", joined_tokens(tokenize("text")).alias("tokens"))
 
 
@@ -142,7 +144,7 @@ def stem_list_sql(words: str) -> str:
 SELECT doc_id, array_to_string({stem_list_sql(roles.tokens_sql('text'))}, '@') AS stems
 FROM documents""")
 def stemmed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = roles.table(spark, sf_dir, "documents")
+    documents = roles.documents(spark, sf_dir)
     return documents.select("doc_id", joined_tokens(stem_tokens(tokenize("text"))).alias("stems"))
 
 
@@ -185,7 +187,7 @@ WITH words AS (SELECT unnest({roles.tokens_sql('text')}) AS word FROM documents)
 counted AS (SELECT word, count(*) AS n FROM words GROUP BY 1)
 SELECT word, n, {stem_list_sql('[word]')}[1] AS stem FROM counted""")
 def stemmed_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = roles.table(spark, sf_dir, "documents")
+    documents = roles.documents(spark, sf_dir)
     return clean.stemmed_vocabulary(documents.select(tokenize("text").alias("tokens")))
 
 
@@ -460,8 +462,7 @@ def group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counted per post half. Words are counted per post first, so the join carries counts."""
-    docs = roles.post_texts(spark, sf_dir)
-    words = docs.select("id", F.explode(tokenize("selftext")).alias("word"))
+    words = each_word(_docs(spark, sf_dir), "tokens", "id")
     per_post = words.groupBy("id", "word").agg(F.count("*").alias("n"))
     joined = per_post.join(_engaged(spark, sf_dir), "id")
     return joined.groupBy("engagement", "word").agg(F.sum("n").alias("count"))

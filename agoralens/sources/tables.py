@@ -33,6 +33,16 @@ def read_table(
     return df if contract is None else require_columns(df, contract)
 
 
+def spread_few_files(df: DataFrame, key: str) -> DataFrame:
+    """Hash a table that lies in fewer files than there are cores over the cores.
+
+    For tables about to get heavy per-row work: a file with one row group is read by one task. A
+    table with enough files comes back as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def read_table_stream(
     spark: SparkSession, path: str, schema: T.StructType, *, fmt: str = "parquet", **options: str
 ) -> DataFrame:
@@ -89,10 +99,23 @@ def write_table(
 
 
 def write_bucketed(
-    df: DataFrame, table: str, keys: Sequence[str], buckets: int, *, mode: str = "overwrite"
+    df: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    buckets: int,
+    *,
+    path: str | None = None,
+    mode: str = "overwrite",
 ) -> None:
-    """Save a catalog table hashed and sorted by `keys`, so later joins on them need no shuffle."""
-    df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    """Save a catalog table hashed and sorted by `keys`, so later joins on them need no shuffle.
+
+    With a `path` the files lie there, and stay when the table is dropped. Repartition `df` by the
+    same keys and number first to get one file per bucket.
+    """
+    writer = df.write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:

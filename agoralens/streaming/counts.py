@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from agoralens.functions.calendar import event_time
-from agoralens.functions.text import tokenize
+from agoralens.functions.text import each_word, tokenize
 from agoralens.operators.lookups import fits_broadcast
 
 
@@ -61,7 +61,7 @@ def sessions(
 
 def word_sentiment(stream: DataFrame, text: str, lexicon: DataFrame) -> DataFrame:
     """Count and `count * value` per lexicon word (`word`, `value`) in the texts so far."""
-    words = stream.select(F.explode(tokenize(text)).alias("word"))
+    words = each_word(stream, tokenize(text))
     # A stream's rows cannot be counted beforehand to find hot words, so only a lexicon that fits
     # is hinted; otherwise Spark joins by shuffle.
     side = F.broadcast(lexicon) if fits_broadcast(lexicon) else lexicon
