@@ -155,8 +155,16 @@ def comment_row_features(
 ) -> DataFrame:
     """Add text, place and time features and the `label` of each comment.
 
-    One function serves training and scoring. `num_words` counts words; `first_word` instead gives
-    the length of the first word, as older models were trained on.
+    One function serves training and scoring.
+    """
+    return context_features(body_features(comments, body=body, first_word=first_word), created)
+
+
+def body_features(comments: DataFrame, *, body: str = "body", first_word: bool = False) -> DataFrame:
+    """Features of the comment's text.
+
+    `num_words` counts words; `first_word` instead gives the length of the first word, as older
+    models were trained on.
     """
     words = F.length(F.regexp_extract(body, r"(\S+)", 1)) if first_word else F.regexp_count(
         body, F.lit(r"\S+")
@@ -168,6 +176,14 @@ def comment_row_features(
             "contains_question": has_mark(body, "?"),
             "negativity": keyword_flag(body),
             "num_words": words,
+        }
+    )
+
+
+def context_features(comments: DataFrame, created: str = "created") -> DataFrame:
+    """Place in the thread, hour, and the controversy label."""
+    return comments.withColumns(
+        {
             "is_top_level": is_direct_reply("parent_id"),
             "hour": F.hour(created),
             "label": F.col("controversiality").cast("int"),

@@ -181,6 +181,12 @@ def top_scored(
     return scored.select(*columns).orderBy(F.desc(by), F.asc(tie)).limit(k)
 
 
+def scored_sample(scored: DataFrame, columns: Sequence[str], key: str, n: int = 1_000) -> DataFrame:
+    """n rows for a report, those with the smallest md5 of their key: the same in every run."""
+    order = [F.md5(F.col(key).cast("string")), F.col(key)]
+    return scored.orderBy(*order).limit(n).select(*columns)
+
+
 def save_model(model: Model, path: str) -> None:
     model.write().overwrite().save(path)
 

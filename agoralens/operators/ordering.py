@@ -6,7 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-RANGES = 256
+from agoralens.sources.scratch import cut_lineage
+
+RANGES = 4096
+BLOCK = 64
 
 
 def value_counts(df: DataFrame, column: str, *sums: Column) -> DataFrame:
@@ -28,18 +31,29 @@ def running_totals(
 ) -> DataFrame:
     """Add `before_<m>` (total over keys that come earlier) and `total_<m>` for each measure.
 
-    `counted` has one row per distinct key. Keys are cut into value ranges at up to `ranges - 1`
-    keys picked by smallest hash, which is the same pick in every run and on every retry. Each
-    range is then sorted on its own, and only the per-range totals (at most `ranges` rows) meet in
-    one task. No task sees all keys.
+    `counted` has one row per distinct key and is stored first, since it is read several times and
+    may be costly to make. Keys are cut into value ranges at up to `ranges - 1` keys picked by
+    smallest hash, which is the same pick in every run and on every retry. Each range is then
+    sorted on its own, and only the per-range totals (at most `ranges` rows) meet in one task. No
+    task sees all keys.
     """
+    counted = cut_lineage(counted)
     order = F.desc if descending else F.asc
     picks = counted.select(key).orderBy(F.xxhash64(key), key).limit(ranges - 1)
-    cuts = picks.agg(F.sort_array(F.collect_list(key)).alias("cuts")).scalar()
+    cuts = picks.agg(F.sort_array(F.collect_list(key)).alias("fine")).select(
+        F.struct(
+            "fine", F.filter("fine", lambda c, i: i % BLOCK == BLOCK - 1).alias("coarse")
+        ).alias("cuts")
+    ).scalar()
+    # Look among every 64th cut first, and then only inside one block of 64.
+    skipped = F.size(F.filter("_cuts.coarse", lambda c: c < F.col(key))) * BLOCK
+    block = F.slice("_cuts.fine", F.col("_skipped") + 1, F.lit(BLOCK))
+    place = F.col("_skipped") + F.size(F.filter(block, lambda c: c < F.col(key)))
     ranged = (
         counted.withColumn("_cuts", cuts)
-        .withColumn("_range", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(key))), F.lit(0)))
-        .drop("_cuts")
+        .withColumn("_skipped", skipped)
+        .withColumn("_range", F.coalesce(place, F.lit(0)))
+        .drop("_cuts", "_skipped")
     )
 
     sums = ranged.groupBy("_range").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])

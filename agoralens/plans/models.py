@@ -100,6 +100,13 @@ def post_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", F.col("token_count").alias("token_count_before_markup"), *kept)
 
 
+def _comment_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts become numbers before the facts are joined on, so the join is narrow."""
+    measured = features.body_features(roles.comment_texts(spark, sf_dir)).drop("body")
+    joined = measured.join(roles.comment_facts(spark, sf_dir), "place", "left")
+    return features.context_features(joined)
+
+
 @question(f"""
 {roles.with_tables(roles.TEXT_COMMENTS)}
 SELECT id, score, gilded, length(body)::int AS body_length,
@@ -111,7 +118,7 @@ SELECT id, score, gilded, length(body)::int AS body_length,
        controversiality AS label
 FROM text_comments""")
 def comment_row_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = features.comment_row_features(roles.text_comments(spark, sf_dir))
+    out = _comment_features(spark, sf_dir)
     return out.select(
         "id", *features.COMMENT_ROW_FEATURES, "contains_question", "negativity", "label"
     )
@@ -147,7 +154,9 @@ _WITH_SCORED = roles.with_tables(roles.POSTS, _LABELLED)
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ml.quantile_label(roles.posts(spark, sf_dir))
+    posts = roles.posts(spark, sf_dir).select("id", "score", "num_comments")
+    # Comments are counted once, for the threshold and for the labels.
+    return ml.quantile_label(cut_lineage(posts))
 
 
 def _rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,12 +271,20 @@ def top_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ml.top_scored(scored, ["id", "probability_positive"], "probability_positive")
 
 
+@question(f"""{_WITH_SCORED}
+SELECT id, num_comments, label, prediction, probability_positive
+FROM scored ORDER BY md5(id::varchar), id LIMIT 1000""")
+def scored_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["id", "num_comments", "label", "prediction", "probability_positive"]
+    return ml.scored_sample(_rule_scored(spark, sf_dir), columns, "id")
+
+
 # ---- models ----------------------------------------------------------------------------------
 
 def _comment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature table of all comments, written once because training passes over it many times."""
-    rows = features.comment_row_features(roles.text_comments(spark, sf_dir))
-    return cut_lineage(rows.select("id", "body", *features.COMMENT_ROW_FEATURES, "label"))
+    rows = _comment_features(spark, sf_dir)
+    return cut_lineage(rows.select("id", *features.COMMENT_ROW_FEATURES, "label"))
 
 
 def _metrics(model, train: DataFrame, test: DataFrame) -> DataFrame:
@@ -305,14 +322,18 @@ def controversy_top_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _comment_rows(spark, sf_dir)
     model = ml.controversy_pipeline().fit(split.hash_split(rows, "id")[0])
     scored = ml.score(model, rows, "prob_controversial")
-    columns = ["id", "body", "score", "is_top_level", "prob_controversial"]
-    return ml.top_scored(scored, columns, "prob_controversial")
+    columns = ["id", "score", "is_top_level", "prob_controversial"]
+    top = ml.top_scored(scored, columns, "prob_controversial")
+    # 500 rows at most, so the texts are picked out without a shuffle.
+    texts = roles.comment_texts(spark, sf_dir).select("id", "body")
+    return texts.join(F.broadcast(top), "id").orderBy(F.desc("prob_controversial"), "id")
 
 
 def _engagement_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled feature table of all text posts with their cleaned text, written once."""
     posts = _post_features(spark, sf_dir)
-    comments = roles.text_comments(spark, sf_dir).withColumn("length", F.length("body"))
+    texts = roles.comment_texts(spark, sf_dir).withColumn("length", F.length("body")).drop("body")
+    comments = texts.join(roles.comment_facts(spark, sf_dir), "place", "left")
     threads = features.comment_features(comments.withColumn("link_id", strip_kind("link_id")))
     joined = features.with_comment_features(posts, threads)
     columns = ["id", "clean_text", "num_comments", *features.POST_FEATURES, *features.COMMENT_FEATURES]

@@ -227,7 +227,7 @@ SELECT id, num_comments, score FROM posts
 WHERE num_comments <= (SELECT quantile_cont(num_comments, 0.99) FROM posts)
   AND score <= (SELECT quantile_cont(score, 0.99) FROM posts)""")
 def clip_at_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = roles.posts(spark, sf_dir)
+    posts = cut_lineage(roles.posts(spark, sf_dir).select("id", "num_comments", "score"))
     kept = stats.clip_at_quantile(posts, {"num_comments": 0.99, "score": 0.99})
     return kept.select("id", "num_comments", "score")
 
@@ -514,5 +514,6 @@ SELECT id, num_comments, CASE WHEN num_comments >= (SELECT quantile_cont(num_com
                               THEN 'high' ELSE 'low' END AS engagement
 FROM posts""")
 def split_at_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = engagement.split_at_quantile(roles.posts(spark, sf_dir))
+    posts = cut_lineage(roles.posts(spark, sf_dir).select("id", "num_comments"))
+    out = engagement.split_at_quantile(posts)
     return out.select("id", "num_comments", "engagement")

@@ -83,11 +83,12 @@ def post_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def text_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def comment_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments as written, with the `place` their facts are found under."""
     said = table(spark, sf_dir, "conversations")
     place = F.concat_ws("_", "conv_id", "turn")
     before = F.concat_ws("_", F.lit("t1"), "conv_id", F.col("turn") - 1)
-    texts = said.select(
+    return said.select(
         place.alias("id"),
         F.concat(F.lit("t3_"), "conv_id").alias("link_id"),
         F.when(F.col("turn") == 0, F.concat(F.lit("t3_"), "conv_id"))
@@ -95,16 +96,19 @@ def text_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("parent_id"),
         F.col("role").alias("author"),
         F.col("text").alias("body"),
-        (F.col("conv_id") * 8 + F.col("turn")).alias("event_id"),
+        (F.col("conv_id") * 8 + F.col("turn")).alias("place"),
     )
-    facts = table(spark, sf_dir, "events").select(
-        "event_id",
+
+
+def comment_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything about text comments but their text."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("place"),
         F.floor("value").cast("int").alias("score"),
         (F.col("event_type") == "error").cast("int").alias("controversiality"),
         (F.col("event_type") == "purchase").cast("int").alias("gilded"),
         F.col("ts").alias("created"),
     )
-    return texts.join(facts, "event_id", "left").drop("event_id")
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ def strip_markup_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 {roles.with_tables(roles.TEXT_COMMENTS)}
 SELECT id, author FROM text_comments WHERE body <> '[removed]' AND body <> '[deleted]'""")
 def drop_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    comments = roles.text_comments(spark, sf_dir)
+    comments = roles.comment_texts(spark, sf_dir)
     return clean.drop_removed(comments, "body").select("id", "author")
 
 
@@ -177,7 +177,7 @@ def cleaned_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT id, author, raw_text, {_clean_sql('raw_text')} AS clean_text FROM raw""")
 def cleaned_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = clean.clean_comments(
-        roles.text_comments(spark, sf_dir), stop_words=DEMO_STOP_WORDS
+        roles.comment_texts(spark, sf_dir), stop_words=DEMO_STOP_WORDS
     )
     return cleaned.select("id", "author", "raw_text", "clean_text")
 

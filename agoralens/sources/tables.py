@@ -34,13 +34,13 @@ def read_table(
 
 
 def spread_few_files(df: DataFrame, key: str) -> DataFrame:
-    """Hash a table that lies in fewer files than there are cores over the cores.
+    """Hash a table that is scanned in fewer pieces than there are cores over the cores.
 
-    For tables about to get heavy per-row work: a file with one row group is read by one task. A
-    table with enough files comes back as it is, without a shuffle.
+    For tables about to get heavy per-row work. A table large enough to occupy the cores comes
+    back as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_table_stream(

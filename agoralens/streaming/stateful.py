@@ -13,6 +13,14 @@ from agoralens.functions.calendar import event_time
 
 OUTPUT = "key string, n_events long, first_us long, last_us long, closed boolean"
 STATE = "n_events long, first_us long, last_us long"
+PARTIAL = "key string, n_events long, first_us long, last_us long"
+
+
+def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        if len(batch):
+            us = batch.groupby("key", dropna=False)["us"]
+            yield us.agg(n_events="size", first_us="min", last_us="max").reset_index()
 
 
 def stateful_sessions(
@@ -26,8 +34,8 @@ def stateful_sessions(
 ) -> DataFrame:
     """One row per key and batch with the open session's progress, and one when it times out.
 
-    State per key is three numbers. Rows of a key reach Python in Arrow batches, so a key with very
-    many rows is folded in piece by piece. The session closes when the watermark (or, with
+    State per key is three numbers. Rows are added up per key and Arrow batch before the shuffle,
+    so a key with very many rows sends few. The session closes when the watermark (or, with
     `processing_time`, the clock) is past its last row by the gap. Run it in update mode.
     """
     gap_ms = gap_seconds * 1000
@@ -43,10 +51,10 @@ def stateful_sessions(
             n, first, last = state.get if state.exists else (0, None, None)
             for batch in batches:
                 if len(batch):
-                    low, high = int(batch["us"].min()), int(batch["us"].max())
+                    low, high = int(batch["first_us"].min()), int(batch["last_us"].max())
                     first = low if first is None else min(first, low)
                     last = high if last is None else max(last, high)
-                    n += len(batch)
+                    n += int(batch["n_events"].sum())
             state.update((n, first, last))
             if processing_time:
                 state.setTimeoutDuration(gap_ms)
@@ -65,8 +73,10 @@ def stateful_sessions(
             }
         )
 
-    timed = stream.withColumn(ts, event_time(ts)).withWatermark(ts, delay)
-    rows = timed.select(F.col(key).cast("string").alias("key"), ts, F.unix_micros(ts).alias("us"))
+    slim = stream.select(F.col(key).cast("string").alias("key"), F.unix_micros(event_time(ts)).alias("us"))
+    # A row's time is its batch's latest for the key, so nothing within the delay is dropped.
+    rows = slim.mapInPandas(_add_up, PARTIAL).withColumn("ts", F.timestamp_micros("last_us"))
+    rows = rows.withWatermark("ts", delay)
     timeout = (
         GroupStateTimeout.ProcessingTimeTimeout
         if processing_time
