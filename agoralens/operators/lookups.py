@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 256
 HOT_PARTS = 64
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most `max_rows` rows. Counting stops one row past the bound."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether the table is within both bounds. Counting stops one row past the row bound."""
+    def width(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = F.to_json(F.struct(value))
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.lit(8)
+        return F.coalesce(F.octet_length(value), F.lit(0))
+
+    size = sum((width(f) for f in df.schema.fields), F.lit(0))
+    head = df.limit(max_rows + 1).agg(F.count("*").alias("rows"), F.sum(size).alias("bytes"))
+    found = head.first()
+    return found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes
 
 
 def hot_keys(rows: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:

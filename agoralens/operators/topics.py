@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, HashingTF, RegexTokenizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from agoralens.functions.text import TOKEN_JOINER
+from agoralens.functions.text import TOKEN_JOINER, each_word
+from agoralens.operators.lookups import lookup_join
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,17 @@ def word_tokens(df: DataFrame, text: str = "clean_text", tokens: str = "tokens")
     return splitter.transform(df.dropna(subset=[text]))
 
 
+def frequent_words(df: DataFrame, tokens: str, size: int, min_docs: int) -> DataFrame:
+    """(word, n) of the `size` most frequent words found in at least `min_docs` documents."""
+    found = each_word(df, tokens).select("word", F.lit(1).alias("n"), F.lit(0).alias("docs"))
+    held = each_word(df, F.array_distinct(tokens)).select(
+        "word", F.lit(0).alias("n"), F.lit(1).alias("docs")
+    )
+    counted = found.union(held).groupBy("word").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    kept = counted.where(F.col("docs") >= min_docs)
+    return kept.orderBy(F.desc("n"), "word").limit(size).select("word", "n")
+
+
 def fit_topics(
     df: DataFrame,
     tokens: str = "tokens",
@@ -34,10 +46,15 @@ def fit_topics(
     min_docs: int = 5,
     seed: int = 42,
 ) -> TopicModel:
-    """Count vectors into LDA. The driver holds the vocabulary and the k x vocabulary matrix."""
-    words = CountVectorizer(
-        inputCol=tokens, outputCol="counts", vocabSize=vocabulary, minDF=float(min_docs)
-    ).fit(df)
+    """Count vectors into LDA. The driver holds the vocabulary and the k x vocabulary matrix.
+
+    `df` is passed over many times, so store it first. Seeds number words by their place in the
+    vocabulary, so equal counts are put in word order.
+    """
+    frequent = frequent_words(df, tokens, vocabulary, min_docs)
+    words = CountVectorizerModel.from_vocabulary(
+        [r["word"] for r in frequent.collect()], inputCol=tokens, outputCol="counts"
+    )
     lda = LDA(k=k, maxIter=max_iter, featuresCol="counts", seed=seed)
     return TopicModel(words, lda.fit(words.transform(df)))
 
@@ -114,6 +131,19 @@ def ranked_words(topic_summary: DataFrame, k: int = 10) -> DataFrame:
     return placed.select("topic", (F.col("place") + 1).alias("rank"), F.trim("word").alias("word"))
 
 
+def term_weights(df: DataFrame, id_col: str = "id", tokens: str = "tokens") -> DataFrame:
+    """(id, word, tf, weight) in long form, without hashing words together.
+
+    The weight is tf * ln((documents + 1) / (documents with the word + 1)), as in `tfidf`. A word
+    found in very many documents is split over tasks when its frequency is looked up.
+    """
+    tf = each_word(df, tokens, id_col).groupBy(id_col, "word").agg(F.count("*").alias("tf"))
+    spread = tf.groupBy("word").agg(F.count("*").alias("_docs"))
+    documents = df.agg(F.count("*").alias("n")).scalar()
+    weight = F.col("tf") * F.log((documents + 1.0) / (F.col("_docs") + 1.0))
+    return lookup_join(tf, spread, ["word"]).select(id_col, "word", "tf", weight.alias("weight"))
+
+
 def tfidf(df: DataFrame, tokens: str = "tokens", features: int = 1 << 18, min_docs: int = 0) -> DataFrame:
     """Add `tfidf`, the hashed term frequencies weighted by inverse document frequency."""
     hashed = HashingTF(inputCol=tokens, outputCol="tf", numFeatures=features).transform(df)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agoralens.functions.numbers import settle
 from agoralens.functions.stemming import (
     MEASURE_ABOVE_0,
     MEASURE_ABOVE_1,

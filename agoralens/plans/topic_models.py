@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agoralens.functions.text import joined_tokens, tokenize
 from agoralens.operators import topics
 from agoralens.plans import roles
+from agoralens.plans.overview import settled
 from agoralens.plans.registry import question
 from agoralens.sources.scratch import cut_lineage
 
@@ -51,6 +51,19 @@ def topic_ranked_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.ranked_words(topics.summary(described))
 
 
+_WORDS = f"""words AS (SELECT doc_id AS id, unnest({roles.tokens_sql('text')}) AS word FROM documents)"""
+
+
+@question(f"""
+WITH {_WORDS}
+SELECT word, count(*) AS n FROM words GROUP BY 1 HAVING count(DISTINCT id) >= 5
+ORDER BY n DESC, encode(word) LIMIT 20000""")
+def topic_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = roles.post_texts(spark, sf_dir)
+    docs = posts.select("id", tokenize("selftext").alias("tokens"))
+    return topics.frequent_words(docs, "tokens", 20_000, 5)
+
+
 @question("""
 WITH first AS (SELECT source, min(doc_id) AS id FROM documents GROUP BY 1)
 SELECT d.source AS top_topic, d.doc_id AS id, d.text AS clean_text
@@ -68,11 +81,18 @@ def group_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @question()
 def tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Non-zero terms and weight sum of each text post."""
+    """Hashed term weights of each text post, as sparse vectors in text form."""
     weighted = topics.tfidf(_docs(spark, sf_dir))
-    weights = F.filter(vector_to_array("tfidf"), lambda w: w > 0)
-    return weighted.select(
-        "id",
-        F.size(weights).alias("n_terms"),
-        F.round(F.aggregate(weights, F.lit(0.0), lambda a, w: a + w), 4).alias("weight"),
-    )
+    return weighted.select("id", F.col("tfidf").cast("string").alias("weights"))
+
+
+@question(f"""
+WITH {_WORDS},
+tf AS (SELECT id, word, count(*) AS tf FROM words GROUP BY 1, 2)
+SELECT id, word, tf, round(tf * ln(((SELECT count(*) FROM documents) + 1.0::double)
+       / (count(*) OVER (PARTITION BY word) + 1)) + 1e-9, 6) AS weight
+FROM tf""")
+def term_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = roles.post_texts(spark, sf_dir)
+    docs = posts.select("id", tokenize("selftext").alias("tokens"))
+    return settled(topics.term_weights(docs), 6, "weight")

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from agoralens.operators import graph
 from tests.conftest import rows

@@ -46,6 +46,13 @@ def test_lookup_is_broadcast_only_when_counted_to_fit(spark):
         lookups.lookup_join(facts, lookup, ["k"], "full")
 
 
+def test_broadcast_bounds(spark):
+    df = spark.createDataFrame([("x" * 100, [1, 2]), (None, None)], "s string, a array<int>")
+    assert lookups.fits_broadcast(df) and lookups.fits_broadcast(df.limit(0))
+    assert not lookups.fits_broadcast(df, max_bytes=100)
+    assert not lookups.fits_broadcast(df, max_rows=1)
+
+
 LEXICON = [("love", "joy"), ("love", "positive"), ("hate", "anger"), ("hate", "negative"), ("x", "other")]
 
 

@@ -50,6 +50,18 @@ def test_a_topic_without_documents_has_no_sample(spark):
     assert rows(topics.summary_with_sample(summary, samples)) == [(0, "a", None), (1, "b", "x y")]
 
 
+def test_term_weights_equal_hashed_weights(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b", "c"]), (3, [])], "id int, tokens array<string>")
+    long = {}
+    for r in topics.term_weights(df).collect():
+        long.setdefault(r.id, []).append(r.weight)
+    hashed = topics.tfidf(df).select("id", F.filter(vector_to_array("tfidf"), lambda w: w > 0).alias("w"))
+    for r in hashed.collect():
+        assert sorted(r.w) == pytest.approx(sorted(long.get(r.id, [])))
+
+
 def test_tfidf_weighs_rare_words_more(docs):
     got = topics.tfidf(docs, features=1 << 10)
     assert got.count() == 40 and "tfidf" in got.columns
