@@ -1,0 +1,132 @@
+"""Cross-entropy difference of documents under a target and a background n-gram model.
+
+Tokens are characters, folded to 32 symbols: the vocabulary both models share. The models are
+4-gram tables of 32**4 cells, so their size never depends on the corpus, and counts are exact.
+Lower orders are sums of the 4-gram table, interpolated with fixed weights.
+"""
+
+from __future__ import annotations
+
+import unicodedata
+from collections.abc import Iterator
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+
+from agoralens.llm.batches import chunks, string_column
+
+SYMBOLS = 32
+ORDER = 4
+CELLS = SYMBOLS**ORDER
+#: Weight of the 4-, 3-, 2- and 1-gram estimate; the rest goes to the uniform one.
+WEIGHTS = (0.5, 0.25, 0.15, 0.09)
+SPACE, LETTER, DIGIT, STOP, MARK = 0, 27, 28, 29, 30
+
+
+@lru_cache(maxsize=1)
+def symbols() -> np.ndarray:
+    """The symbol of each code point: white space and controls 0, a-z with or without accents 1 to
+    26, other letters 27, digits 28, sentence signs 29, all else 30."""
+    table = np.full(0x110000, MARK, np.uint8)
+    for code in range(0x3000):
+        c = chr(code)
+        base = unicodedata.normalize("NFD", c.lower())[0]
+        if "a" <= base <= "z":
+            table[code] = ord(base) - 96
+        elif c.isalpha():
+            table[code] = LETTER
+        elif c.isdigit():
+            table[code] = DIGIT
+        elif c.isspace() or code < 32:
+            table[code] = SPACE
+        elif c in ".,;:!?":
+            table[code] = STOP
+    table[0x3000:0xD800] = LETTER
+    return table
+
+
+def cells(text: str) -> np.ndarray:
+    """The 4-gram cell that ends at each character; three spaces are put in front."""
+    codes = symbols()[np.frombuffer(text.encode("utf-32-le"), np.uint32)].astype(np.int64)
+    codes = np.concatenate([np.zeros(ORDER - 1, np.int64), codes])
+    n = len(codes) - ORDER + 1
+    return ((codes[:n] * SYMBOLS + codes[1 : n + 1]) * SYMBOLS + codes[2 : n + 2]) * SYMBOLS + codes[3 : n + 3]
+
+
+def _texts(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, str]]:
+    for chunk in chunks(string_column(batch, name)):
+        for r in range(len(chunk.offsets) - 1):
+            yield chunk.first + r, chunk.data[chunk.offsets[r] : chunk.offsets[r + 1]].tobytes().decode()
+
+
+def count(docs: DataFrame, in_target: str, *, text_col: str = "text") -> DataFrame:
+    """`cell`, `background` (count in all texts) and `target` (in rows where `in_target` holds).
+
+    Each task adds up its rows in an array of fixed size and hands on the cells it met; then cells
+    are summed. NULL texts and flags count as empty and false.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, target = np.zeros(CELLS, np.int64), np.zeros(CELLS, np.int64)
+        for batch in batches:
+            flags = batch.column(1).to_pylist()
+            for row, text in _texts(batch, text_col):
+                own = cells(text)
+                np.add.at(total, own, 1)
+                if flags[row]:
+                    np.add.at(target, own, 1)
+        met = np.flatnonzero(total)
+        for at in range(0, len(met), 50_000):
+            part = met[at : at + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part.astype(np.int32)), pa.array(total[part]), pa.array(target[part])],
+                names=["cell", "background", "target"],
+            )
+
+    rows = docs.select(text_col, F.col(in_target).cast("boolean")).mapInArrow(run, "cell int, background long, target long")
+    return rows.groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+
+
+def losses(counts: np.ndarray) -> np.ndarray:
+    """Negative log probability of each cell's last symbol after its first three."""
+    table = counts.astype(np.float64).reshape((SYMBOLS,) * ORDER)
+    p = np.full(table.shape, (1 - sum(WEIGHTS)) / SYMBOLS)
+    for k, weight in enumerate(WEIGHTS):
+        part = table.sum(axis=tuple(range(k))) if k else table
+        context = part.sum(axis=-1, keepdims=True)
+        p += weight * np.divide(part, context, out=np.full(part.shape, 1 / SYMBOLS), where=context > 0)
+    return -np.log(p).reshape(-1)
+
+
+def score(docs: DataFrame, counts: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: `id_col`, `n_tokens`, mean `target_loss` and `background_loss` per token in nats and
+    `difference` (target minus background: low for texts like the target's).
+
+    Models without any count are uniform. A NULL or empty text has 0 tokens and NULL losses. The
+    collected table has at most 32**4 rows.
+    """
+    background, target = np.zeros(CELLS), np.zeros(CELLS)
+    found = counts.toArrow()
+    at = found["cell"].to_numpy()
+    background[at], target[at] = found["background"].to_numpy(), found["target"].to_numpy()
+    model = np.stack([losses(target), losses(background)], axis=1).astype(np.float32)
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, sums = np.zeros(batch.num_rows, np.int64), np.zeros((batch.num_rows, 2))
+            for row, text in _texts(batch, text_col):
+                own = cells(text)
+                n[row], sums[row] = len(own), model[own].sum(axis=0, dtype=np.float64)
+            none = n == 0
+            mean = sums / np.maximum(n, 1)[:, None]
+            columns = [mean[:, 0], mean[:, 1], mean[:, 0] - mean[:, 1]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n), *[pa.array(c, mask=none) for c in columns]],
+                names=[id_col, "n_tokens", "target_loss", "background_loss", "difference"],
+            )
+
+    schema = f"`{id_col}` {kind}, n_tokens long, target_loss double, background_loss double, difference double"
+    return docs.select(id_col, text_col).mapInArrow(run, schema)

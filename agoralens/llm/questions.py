@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agoralens.llm import piece_codec
+from agoralens.llm import char_model, language, mixing, personal_data, piece_codec, quality, url_filter
+from agoralens.operators.lookups import lookup_join
 
 Question = Callable[[SparkSession, str], DataFrame]
 
@@ -54,3 +55,117 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         _piece_digests,
         "n_tokens long, ids_sha256 string, decoded_sha256 string",
     )
+
+
+# ---- 3: URL filters ----------------------------------------------------------------------------
+
+RULES = [
+    url_filter.Rule("org", "/", "allow"),
+    url_filter.Rule("example.org", "/es/", "block"),
+    url_filter.Rule("example.org", "/en/1", "block"),
+    url_filter.Rule("com", "/fr/", "allow"),
+    url_filter.Rule("com", "/de/", "block"),
+]
+#: Pages that hold one of these words put their canonical URL on the list.
+TERMS = ["stupid", "idiot", "moron", "scum", "pathetic", "loser", "vermin", "worthless"]
+
+
+def _rules_sql(what: str) -> str:
+    cases = "".join(
+        f" WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
+        f" THEN '{r.host + r.path if what == 'rule' else r.verdict}'"
+        for r in sorted(RULES, key=lambda r: -len(r.host + r.path))
+    )
+    return f"CASE{cases} END"
+
+
+@question(f"""
+WITH parts AS (
+  SELECT page_id, html, instr(url, '://') > 0 AS whole,
+    coalesce(lower(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+keyed AS (
+  SELECT *, CASE WHEN whole THEN regexp_replace(host, '^www[.]', '') || regexp_replace(path, '([.]html|/)$', '') END AS url_key
+  FROM parts),
+listed AS (
+  SELECT DISTINCT url_key FROM keyed
+  WHERE url_key IS NOT NULL AND regexp_matches(lower(html), '(^|[^a-z])({"|".join(TERMS)})([^a-z]|$)'))
+SELECT page_id, host, path, {_rules_sql("rule")} AS rule,
+  coalesce({_rules_sql("verdict")}, CASE WHEN url_key IN (SELECT url_key FROM listed) THEN 'block' ELSE 'allow' END) AS verdict,
+  coalesce(url_key IN (SELECT url_key FROM listed), false) AS listed
+FROM keyed""")
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.urls_with_terms(pages, TERMS), RULES)
+
+
+# ---- 4: language-model scores ------------------------------------------------------------------
+
+
+@question()
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled as good and not toxic. Background: all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    good = labels.where("quality = 1 AND toxic = 0").select("doc_id", F.lit(True).alias("good")).distinct()
+    return char_model.score(docs, char_model.count(lookup_join(docs, good, ["doc_id"], "left"), "good"))
+
+
+# ---- 5: language -------------------------------------------------------------------------------
+
+
+@question()
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(~language.held_out("doc_id")))
+    return language.predict(docs, model).select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+# ---- 6: personal data --------------------------------------------------------------------------
+
+
+@question()
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(personal_data.find_spans(table(spark, sf_dir, "documents")))
+
+
+# ---- 9: quality rules --------------------------------------------------------------------------
+
+
+@question()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# ---- 10: mixing --------------------------------------------------------------------------------
+
+
+@question("""
+WITH sized AS (
+  SELECT doc_id, source, md5(doc_id::VARCHAR) AS key,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+  FROM sized GROUP BY source),
+bounded AS (SELECT *, 2.0::DOUBLE * source_size AS bound FROM sources),
+levels AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER ()
+      - coalesce(sum(bound) OVER (ORDER BY bound / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY bound / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM bounded),
+targets AS (
+  SELECT source, source_size, coalesce(least(bound, weight *
+      (SELECT arg_min(level, bound / weight) FROM levels WHERE bound > level * weight)), bound) AS target
+  FROM levels),
+run AS (
+  SELECT d.*, t.source_size, t.target, coalesce(floor(t.target / nullif(t.source_size, 0)), 0)::BIGINT AS rounds,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, source, size, source_size, target,
+  (rounds * size + greatest(0, least(size, floor(target)::BIGINT - rounds * source_size - before)))::BIGINT AS taken
+FROM run""")
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
