@@ -134,3 +134,23 @@ def windows(hashes: np.ndarray, size: int, seed: int = 7) -> np.ndarray:
 
 def string_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+_UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_unpowers = np.ones(1, np.uint64)
+
+
+def rolling(hashes: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """As `windows`, for long windows: differences of running sums, at a cost free of `size`."""
+    global _unpowers
+    n = len(hashes)
+    if n < size:
+        return np.zeros(0, np.uint64)
+    if len(_unpowers) < n:
+        steps = np.full(2 * n, _UNBASE)
+        steps[0] = 1
+        _unpowers = np.cumprod(steps, dtype=np.uint64)
+    factor = streams(1, seed)[0]
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(mix(hashes + factor) * powers(n), out=sums[1:], dtype=np.uint64)
+    return mix((sums[size:] - sums[:-size]) * _unpowers[: n - size + 1] + factor)
