@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agoralens.llm import char_model, language, mixing, personal_data, piece_codec, quality, substrings, url_filter
+from agoralens.llm import char_model, language, minhash, mixing, personal_data, piece_codec, quality, substrings, url_filter
 from agoralens.operators.lookups import lookup_join
 
 Question = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,14 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- 2: near duplicates ------------------------------------------------------------------------
+
+
+@question()
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"), percent=85)
+
+
 # ---- 3: URL filters ----------------------------------------------------------------------------
 
 RULES = [
