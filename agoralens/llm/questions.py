@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agoralens.llm import char_model, language, minhash, mixing, personal_data, piece_codec, quality, substrings, url_filter
+from agoralens.llm import char_model, language, minhash, mixing, personal_data, piece_codec, quality, spots, substrings, url_filter
 from agoralens.operators.lookups import lookup_join
 
 Question = Callable[[SparkSession, str], DataFrame]
@@ -138,6 +138,14 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.digest(personal_data.find_spans(table(spark, sf_dir, "documents")))
 
 
+# ---- 7: fingerprints ---------------------------------------------------------------------------
+
+
+@question()
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spots.fingerprint_and_edited(table(spark, sf_dir, "documents"))
+
+
 # ---- 8: substring dedup ------------------------------------------------------------------------
 
 
