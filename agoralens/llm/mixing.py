@@ -63,21 +63,25 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
     seed: str = "",
+    with_row: bool = False,
 ) -> DataFrame:
-    """One row per document: `id_col`, `source`, `size`, `source_size`, `target` and `taken` (words).
+    """One row per document: `id_col`, `source`, `size`, `source_size`, `target` and `taken` (words);
+    `with_row` adds the input row as struct `row`.
 
     A source's mix is its documents in the order of their keys, over and over, cut after exactly
     floor(target) words: whole rounds for all, then one more for the documents before the cut, and
     the first words of the one it falls into. NULL texts have size 0 and take nothing. Rows that
     repeat in full are told apart by nothing and get equal shares up to the cut. An empty table
     gives an empty result. Two small tables (id, source, size, key; words per range) are stored
-    in the shared folder, so texts are read once. Other columns are not read.
+    in the shared folder (the first with the input rows, if asked for), so texts are read once. Other
+    columns are not read.
     """
     spark = docs.sparkSession
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     sized = new_folder(spark, "mix-sizes")
-    docs.select(F.col(id_col), F.col(source_col).alias("source"), words(text_col).alias("size"), key.alias("_key")).withColumn(
-        "_range", F.substring("_key", 1, RANGE_DIGITS)
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if with_row else []
+    docs.select(
+        F.col(id_col), F.col(source_col).alias("source"), words(text_col).alias("size"), key.alias("_key"), F.substring(key, 1, RANGE_DIGITS).alias("_range"), *row
     ).write.parquet(sized)
     rows = spark.read.parquet(sized)
     stored = new_folder(spark, "mix-ranges")
@@ -109,4 +113,28 @@ def mix(
     return outside.unionByName(inside).select(
         id_col, "source", "size", "source_size", "target",
         (F.col("_rounds") * F.col("size") + F.col("_more")).cast("long").alias("taken"),
+        *["row"] * with_row,
     )
+
+
+def copies(mixed: DataFrame, text_col: str = "text", count_col: str | None = "n_chars") -> DataFrame:
+    """The mix itself, from `mix(..., with_row=True)`: input rows as often as they are taken.
+
+    A document that is taken in part comes with its first words, joined by one space, and with
+    `count_col` set to the new number of characters; documents of which nothing is taken are left out.
+    """
+    whole = F.floor(F.col("taken") / F.nullif("size", F.lit(0)))
+    part = F.col("taken") - whole * F.col("size")
+    times = F.concat(F.array_repeat(F.lit(0).cast("long"), whole.cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
+    rows = mixed.where("taken > 0").select("row", F.explode(times).alias("_first"))
+    split = F.filter(F.split(F.col("row")[text_col], r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = F.array_join(F.slice(split, F.lit(1), F.col("_first").cast("int")), " ")
+    fields = []
+    for name in mixed.schema["row"].dataType.names:
+        column = F.col("row")[name]
+        if name == text_col:
+            column = F.when(F.col("_first") > 0, cut).otherwise(column)
+        elif name == count_col:
+            column = F.when(F.col("_first") > 0, F.length(cut)).otherwise(column)
+        fields.append(column.alias(name))
+    return rows.select(*fields)
