@@ -60,7 +60,27 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- 2: near duplicates ------------------------------------------------------------------------
 
 
-@question()
+WORDS_SQL = "coalesce(regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+'), [])"
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@question(f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS_SQL.format(text=_LOWERED)} AS words FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE
+      WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+      WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS items
+  FROM w),
+items AS (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM sets),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS n_both
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs WHERE 100 * n_both >= 85 * (na + nb - n_both)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+tops AS (SELECT a, min(b) AS b FROM reach GROUP BY 1)
+SELECT doc_id, len(items)::BIGINT AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(b, doc_id)) AS kept
+FROM sets LEFT JOIN tops ON a = doc_id""")
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"), percent=85)
 
@@ -149,7 +169,22 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- 8: substring dedup ------------------------------------------------------------------------
 
 
-@question()
+@question(f"""
+WITH w AS (SELECT doc_id, {WORDS_SQL.format(text="text")} AS words FROM documents),
+runs AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50)),
+firsts AS (SELECT run, min(doc_id) AS lo FROM runs GROUP BY 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place
+  FROM (SELECT r.doc_id, i FROM runs r JOIN firsts f USING (run) WHERE lo < r.doc_id)),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM w),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS kept
+  FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY 1)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""")
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
