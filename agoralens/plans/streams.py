@@ -8,7 +8,7 @@ from agoralens.plans import roles
 from agoralens.plans.registry import question
 from agoralens.sources.tables import read_table_stream
 from agoralens.streaming import counts, stateful
-from agoralens.streaming.run import to_table
+from agoralens.streaming.run import latest, to_table
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,39 +20,32 @@ def _zoneless(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
-_WATERMARK = (
-    "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE AS mark FROM events)"
-)
-
-
 @question("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def stream_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _stream(spark, sf_dir, "events")
     return to_table(counts.running_counts(events, "event_type"), "complete", "running")
 
 
-@question(f"""
+@question("""
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, n
 FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n
-      FROM events GROUP BY 1, 2), {_WATERMARK}
-WHERE window_start + INTERVAL 1 HOUR <= mark""")
+      FROM events GROUP BY 1, 2)""")
 def stream_tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows the watermark has closed."""
+    """All windows at the end of the input, those the watermark has not closed included."""
     events = _stream(spark, sf_dir, "events")
-    out = counts.windowed_counts(events, "ts", "1 hour", keys=["event_type"])
-    return _zoneless(to_table(out, "append", "tumbling"), "window_start", "window_end")
+    out = to_table(counts.windowed_counts(events, "ts", "1 hour", keys=["event_type"]), "update", "tumbling")
+    out = latest(out, ["window_start", "window_end", "event_type"], ["n"])
+    return _zoneless(out, "window_start", "window_end")
 
 
-@question(f"""
+@question("""
 SELECT window_start, window_start + INTERVAL 2 HOUR AS window_end, n
 FROM (SELECT b - k * INTERVAL 30 MINUTE AS window_start, count(*) AS n
-      FROM (SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS b FROM events), range(4) t(k) GROUP BY 1),
-     {_WATERMARK}
-WHERE window_start + INTERVAL 2 HOUR <= mark""")
+      FROM (SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS b FROM events), range(4) t(k) GROUP BY 1)""")
 def stream_sliding_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _stream(spark, sf_dir, "events")
-    out = counts.windowed_counts(events, "ts", "2 hours", "30 minutes")
-    return _zoneless(to_table(out, "append", "sliding"), "window_start", "window_end")
+    out = to_table(counts.windowed_counts(events, "ts", "2 hours", "30 minutes"), "update", "sliding")
+    return _zoneless(latest(out, ["window_start", "window_end"], ["n"]), "window_start", "window_end")
 
 
 _SESSIONS = """
@@ -70,10 +63,12 @@ sessions AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MIN
 @question(f"""{_SESSIONS}
 SELECT user_id, session_start, session_end,
        round((epoch_us(last_ts) - epoch_us(first_ts)) / 1000000.0 + 1800, 6) AS duration_seconds, n_events
-FROM sessions, {_WATERMARK} WHERE session_end <= mark""")
+FROM sessions""")
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sessions at the end of the input. Session windows have no update mode, so the run to the
+    end gives out its whole state."""
     events = _stream(spark, sf_dir, "events")
-    out = to_table(counts.sessions(events, "ts", "user_id", "30 minutes"), "append", "sessions")
+    out = to_table(counts.sessions(events, "ts", "user_id", "30 minutes"), "complete", "sessions")
     out = out.withColumn("duration_seconds", F.round("duration_seconds", 6))
     return _zoneless(out, "session_start", "session_end")
 
@@ -94,10 +89,16 @@ def stream_happiest_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.happiest_words(to_table(counts.word_sentiment(said, "text", scores), "complete", "words"))
 
 
-@question("""
-SELECT user_id::varchar AS key, count(*) AS n_events FROM events GROUP BY 1""")
+@question(f"""{_SESSIONS}
+SELECT user_id::varchar AS key, first_ts AS session_start, last_ts AS last_event, n_events FROM sessions""")
 def stream_stateful_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows folded into state per user: the progress rows of all batches, added up."""
+    """All sessions, open ones included, from hand-written state."""
     events = _stream(spark, sf_dir, "events")
-    out = to_table(stateful.stateful_sessions(events, "ts", "user_id", 86_400 * 60), "update", "state")
-    return out.groupBy("key").agg(F.max("n_events").alias("n_events"))
+    changes = to_table(stateful.stateful_sessions(events, "ts", "user_id", 1_800), "update", "state")
+    found = stateful.last_versions(changes).select(
+        "key",
+        F.timestamp_micros("first_us").alias("session_start"),
+        F.timestamp_micros("last_us").alias("last_event"),
+        "n_events",
+    )
+    return _zoneless(found, "session_start", "last_event")

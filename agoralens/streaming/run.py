@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from agoralens.sources.scratch import new_folder
 
@@ -39,6 +39,13 @@ def for_each_batch(
     query.awaitTermination()
 
 
+def latest(changes: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """The last version of every row of an update-mode result (see `to_table`): what append mode
+    has given out so far, and what it would still hold back at the end of the input."""
+    newest = [F.max_by(v, "batch_id").alias(v) for v in values]
+    return changes.groupBy(*keys).agg(*newest)
+
+
 def to_table(stream: DataFrame, mode: str = "append", name: str = "stream") -> DataFrame:
     """Run to the end of the available input and return the result table from shared storage.
 

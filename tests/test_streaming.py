@@ -83,3 +83,26 @@ def test_unknown_mode(spark, folder):
     put(spark, folder, [(1, "x", 0)])
     with pytest.raises(ValueError):
         run.to_table(stream(spark, folder), "other")
+
+
+def test_stateful_sessions_like_batch(spark, folder):
+    """Gaps inside one batch close sessions, late rows join two, rows without a time are left out."""
+    put(spark, folder, [(1, "x", 0), (1, "x", 2), (1, "x", 30), (1, "x", 90), (2, "x", 5), (3, "x", None)])
+    put(spark, folder, [(1, "x", 86), (1, "x", 82), (2, "x", 6), (2, "x", 200)])
+    put(spark, folder, [(1, "x", 300)])
+    changes = run.to_table(stateful.stateful_sessions(stream(spark, folder), "ts", "u", 300, delay="4 hours"), "update")
+    start = F.unix_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    found = stateful.last_versions(changes).select(
+        "key", (F.col("first_us") / 60_000_000 - start / 60).cast("int"), (F.col("last_us") / 60_000_000 - start / 60).cast("int"), "n_events"
+    )
+    assert rows(found) == [
+        ("1", 0, 2, 2), ("1", 30, 30, 1), ("1", 300, 300, 1), ("1", 82, 90, 3), ("2", 200, 200, 1), ("2", 5, 6, 2)
+    ]
+
+
+def test_latest_versions_of_windows(spark, folder):
+    put(spark, folder, [(1, "x", 1), (1, "x", 26)])
+    put(spark, folder, [(1, "x", 27), (1, "x", 3)])
+    changes = run.to_table(counts.windowed_counts(stream(spark, folder), "ts", "10 minutes", delay="1 hour"), "update")
+    found = run.latest(changes, ["window_start"], ["n"])
+    assert rows(found.select(F.date_format("window_start", "HH:mm"), "n")) == [("00:00", 2), ("00:20", 2)]
