@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from agoralens.functions.numbers import ratio, safe_corr
 from agoralens.functions.text import first_match, word_count
 from agoralens.operators.lookups import lookup_join
-from agoralens.operators.ordering import average_ranks, quantile_value
+from agoralens.operators.ordering import quantile_value, ranks_of_counts
+from agoralens.sources.scratch import stored
 
 # Title keywords per topic, first match wins.
 TOPIC_RULES = (
@@ -80,12 +81,25 @@ def topic_year_share(df: DataFrame, topic: str = "topic_label", created: str = "
     return counts.withColumn("share", F.col("n") / year_total)
 
 
+def topic_year_changes(
+    df: DataFrame, topic: str = "topic_label", created: str = "created"
+) -> DataFrame:
+    """One row per topic and year with posts: `n`, and `growth` over the year before.
+
+    Growth is NULL where the year before has no posts.
+    """
+    counts = df.groupBy(topic, F.year(created).alias("year")).agg(F.count("*").alias("n"))
+    order = W.partitionBy(topic).orderBy("year")
+    before = F.when(F.lag("year").over(order) == F.col("year") - 1, F.lag("n").over(order))
+    return counts.withColumn("growth", ratio(F.col("n") - before, before))
+
+
 def topic_year_growth(
     df: DataFrame, years: Sequence[int], topic: str = "topic_label", created: str = "created"
 ) -> DataFrame:
-    """Topic rows by year columns `n_<year>`, with growth over the year before.
+    """Topic rows by columns `n_<year>` of the given years, with growth over the year before.
 
-    Growth is NULL where the year before has no posts.
+    Growth is NULL where the year before has no posts. `topic_year_changes` has all years.
     """
     year = F.year(created)
     wide = df.groupBy(topic).agg(*[F.count_if(year == y).alias(f"n_{y}") for y in years])
@@ -154,10 +168,10 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     Ranks come from distributed running totals, and equal (x, y) pairs are collapsed to counts
     before they meet their ranks, so a value held by many rows is not sent to one task.
     """
-    pairs = df.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count("*").alias("n"))
+    pairs = stored(df.groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count("*").alias("n")), "pairs")
     for side in ("x", "y"):
-        ranks = average_ranks(df, x if side == "x" else y)
-        ranks = ranks.withColumnsRenamed({"value": side, "rank": f"rank_{side}"})
+        ranks = ranks_of_counts(pairs.groupBy(F.col(side).alias("value")).agg(F.sum("n").alias("n")))
+        ranks = stored(ranks.withColumnsRenamed({"value": side, "rank": f"rank_{side}"}), "ranks")
         pairs = lookup_join(pairs, ranks, [side])
     n, a, b = F.col("n"), F.col("rank_x"), F.col("rank_y")
     moments = pairs.agg(

@@ -7,10 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from agoralens.operators.lookups import HOT_SHARE, spread_join, spread_lookup, spread_rows
-from agoralens.sources.scratch import cut_lineage, new_folder
+from agoralens.sources.scratch import cut_lineage, new_folder, stored
 from agoralens.sources.tables import write_bucketed
 
 
+#: Edges that one bucket should hold at most.
+BUCKET_ROWS = 5_000_000
+
+
 def pagerank(
     edges: DataFrame,
     iterations: int = 10,
@@ -37,12 +41,21 @@ def pagerank(
     )
     spark = edges.sparkSession
     table = f"links_{uuid.uuid4().hex}"
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-distinct.count() // BUCKET_ROWS))
     write_bucketed(
         spread_rows(distinct, hot, ["src"]).repartition(tasks, "src", "_part"),
         table, ["src", "_part"], tasks, path=new_folder(spark, "links"),
     )
-    links = spark.table(table)
+    try:
+        return _ranks(spark.table(table), sources, hot, iterations, damping, keep_unlinked, checkpoint_every)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
+def _ranks(
+    links: DataFrame, sources: DataFrame, hot: DataFrame, iterations: int, damping: float, keep_unlinked: bool,
+    checkpoint_every: int,
+) -> DataFrame:
     nodes = links.select(F.col("src").alias("node")).union(links.select("dst")).distinct()
 
     ranks = sources.select(F.col("src").alias("node"), F.lit(1.0).alias("rank"))
@@ -59,12 +72,15 @@ def pagerank(
         )
         if step % checkpoint_every == 0 or step == iterations:
             ranks = cut_lineage(ranks)
-    spark.sql(f"DROP TABLE {table}")
     return ranks
 
 
 def transitive_closure(edges: DataFrame, max_rounds: int = 1_000) -> DataFrame:
-    """All (src, dst) pairs connected by a path. Only newly found pairs are extended each round."""
+    """All (src, dst) pairs connected by a path. Only newly found pairs are extended each round.
+
+    The result grows with the square of path lengths; for large graphs ask for the nodes within
+    `reach` of given ones.
+    """
     base = cut_lineage(edges.select("src", "dst").distinct())
     found, new = base, base
     for _ in range(max_rounds):
@@ -75,3 +91,18 @@ def transitive_closure(edges: DataFrame, max_rounds: int = 1_000) -> DataFrame:
             return found
         found = found.union(new)
     raise RuntimeError(f"closure not reached in {max_rounds} rounds")
+
+
+def reach(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """`node`, `steps`: all nodes that a path leads to from one of the seeds (`node`), and the
+    length of the shortest one. Each round follows the edges of the nodes found last; every node is
+    kept once, so the result is at most one row per node, whatever the paths."""
+    base = stored(edges.select("src", "dst").distinct())
+    new = stored(seeds.select("node").distinct().withColumn("steps", F.lit(0)))
+    found, steps = new, 0
+    while not new.isEmpty():
+        steps += 1
+        next_ones = spread_join(base, new.select(F.col("node").alias("src")), ["src"]).select(F.col("dst").alias("node"))
+        new = stored(next_ones.distinct().join(found, "node", "left_anti").withColumn("steps", F.lit(steps)))
+        found = stored(found.union(new))
+    return found

@@ -6,10 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from agoralens.sources.scratch import stored
+
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 256
 HOT_PARTS = 64
+#: Rows of one key that one task should get at most.
+PART_ROWS = 2_000_000
 
 
 def fits_broadcast(
@@ -31,12 +35,16 @@ def fits_broadcast(
 
 
 def hot_keys(rows: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys holding more than 1/share of all rows. There are fewer than `share` of them."""
+    """Keys holding more than 1/share of all rows, or more than `PART_ROWS` rows. There are fewer
+    than the larger of `share` and all rows / `PART_ROWS` of them."""
+    return _hot_counts(rows, on, share).select(*on, F.lit(True).alias("_hot"))
+
+
+def _hot_counts(rows: DataFrame, on: Sequence[str], share: int) -> DataFrame:
     counts = rows.groupBy(*on).agg(F.count("*").alias("_rows"))
     total = counts.agg(F.sum("_rows").alias("total"))
-    return counts.where(F.col("_rows") * F.lit(share) > total.scalar()).select(
-        *on, F.lit(True).alias("_hot")
-    )
+    hot = (F.col("_rows") * F.lit(share) > total.scalar()) | (F.col("_rows") > PART_ROWS)
+    return counts.where(hot)
 
 
 def spread_rows(
@@ -62,14 +70,18 @@ def spread_lookup(
 def spread_join(
     rows: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Shuffle join in which every hot key of `rows` is split over many tasks.
+    """Shuffle join in which every hot key of `rows` is split over many tasks: over `HOT_PARTS`,
+    or more if a part would have more than `PART_ROWS` rows.
 
     Meant for `rows` that stay the same when computed again; rows equal in every column share a
     part, so collapse exact repeats first where they can be many.
     """
-    hot = hot_keys(rows, on)
-    left = spread_rows(rows, hot, on)
-    right = spread_lookup(lookup, hot, on)
+    counted = stored(_hot_counts(rows, on, HOT_SHARE), "hot")
+    most = counted.agg(F.max("_rows")).first()[0] or 0
+    parts = max(HOT_PARTS, -(-most // PART_ROWS))
+    hot = counted.select(*on, F.lit(True).alias("_hot"))
+    left = spread_rows(rows, hot, on, parts)
+    right = spread_lookup(lookup, hot, on, parts)
     return left.join(right, [*on, "_part"], how).drop("_part")
 
 

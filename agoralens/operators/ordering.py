@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from agoralens.sources.scratch import cut_lineage
+from agoralens.sources.scratch import stored
 
 RANGES = 4096
 BLOCK = 64
@@ -37,7 +37,7 @@ def running_totals(
     sorted on its own, and only the per-range totals (at most `ranges` rows) meet in one task. No
     task sees all keys.
     """
-    counted = cut_lineage(counted)
+    counted = stored(counted)
     order = F.desc if descending else F.asc
     picks = counted.select(key).orderBy(F.xxhash64(key), key).limit(ranges - 1)
     cuts = picks.agg(F.sort_array(F.collect_list(key)).alias("fine")).select(
@@ -80,7 +80,12 @@ def running_totals(
 
 def average_ranks(df: DataFrame, column: str) -> DataFrame:
     """`value` and its `rank` among all rows, ties sharing the mean rank."""
-    run = running_totals(value_counts(df, column), "value", ["n"])
+    return ranks_of_counts(value_counts(df, column))
+
+
+def ranks_of_counts(counted: DataFrame) -> DataFrame:
+    """`value` and its mean `rank`, from distinct values and their number of rows `n`."""
+    run = running_totals(counted, "value", ["n"])
     return run.select("value", (F.col("before_n") + (F.col("n") + 1) / F.lit(2.0)).alias("rank"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from agoralens.functions.text import TOKEN_JOINER, each_word
 from agoralens.operators.lookups import lookup_join
+from agoralens.sources.scratch import stored
 
 
 @dataclass(frozen=True)
@@ -45,9 +46,12 @@ def fit_topics(
     vocabulary: int = 20_000,
     min_docs: int = 5,
     seed: int = 42,
+    share: float = 1.0,
 ) -> TopicModel:
     """Count vectors into LDA. The driver holds the vocabulary and the k x vocabulary matrix.
 
+    Every iteration uses `share` of the documents: all by default, a sample if it is below 1.
+
     `df` is passed over many times, so store it first. Seeds number words by their place in the
     vocabulary, so equal counts are put in word order.
     """
@@ -55,8 +59,9 @@ def fit_topics(
     words = CountVectorizerModel.from_vocabulary(
         [r["word"] for r in frequent.collect()], inputCol=tokens, outputCol="counts"
     )
-    lda = LDA(k=k, maxIter=max_iter, featuresCol="counts", seed=seed)
-    return TopicModel(words, lda.fit(words.transform(df)))
+    lda = LDA(k=k, maxIter=max_iter, featuresCol="counts", seed=seed, subsamplingRate=share)
+    counts = stored(words.transform(df).select("counts"), "counts")
+    return TopicModel(words, lda.fit(counts))
 
 
 def describe(model: TopicModel, n_words: int = 10) -> DataFrame:
@@ -103,9 +108,13 @@ def prevalence(assigned: DataFrame, topic: str = "top_topic") -> DataFrame:
 def samples(
     assigned: DataFrame, id_col: str = "id", text: str = "clean_text", topic: str = "top_topic"
 ) -> DataFrame:
-    """The document with the smallest id of each topic, found by aggregation without a sort."""
-    first = F.min(F.struct(F.col(id_col), F.col(text))).alias("first")
-    return assigned.groupBy(topic).agg(first).select(topic, f"first.{id_col}", f"first.{text}")
+    """The document with the smallest id of each topic.
+
+    The ids are found without the texts, which are then picked out by a join with one row per topic.
+    """
+    first = stored(assigned.groupBy(topic).agg(F.min(id_col).alias(id_col)), "firsts")
+    found = lookup_join(assigned.select(topic, id_col, text), first, [topic, id_col])
+    return found.groupBy(topic, id_col).agg(F.min(text).alias(text))
 
 
 def readable(text: str):
@@ -135,10 +144,11 @@ def term_weights(df: DataFrame, id_col: str = "id", tokens: str = "tokens") -> D
     """(id, word, tf, weight) in long form, without hashing words together.
 
     The weight is tf * ln((documents + 1) / (documents with the word + 1)), as in `tfidf`. A word
-    found in very many documents is split over tasks when its frequency is looked up.
+    found in very many documents is split over tasks when its frequency is looked up. Texts are read
+    once; what follows works on the stored counts.
     """
-    tf = each_word(df, tokens, id_col).groupBy(id_col, "word").agg(F.count("*").alias("tf"))
-    spread = tf.groupBy("word").agg(F.count("*").alias("_docs"))
+    tf = stored(each_word(df, tokens, id_col).groupBy(id_col, "word").agg(F.count("*").alias("tf")), "tf")
+    spread = stored(tf.groupBy("word").agg(F.count("*").alias("_docs")), "words")
     documents = df.agg(F.count("*").alias("n")).scalar()
     weight = F.col("tf") * F.log((documents + 1.0) / (F.col("_docs") + 1.0))
     return lookup_join(tf, spread, ["word"]).select(id_col, "word", "tf", weight.alias("weight"))

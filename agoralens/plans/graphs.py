@@ -53,6 +53,21 @@ def transitive_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.transitive_closure(edges)
 
 
+@question("""
+WITH RECURSIVE edges AS (
+  SELECT conv_id || '_' || (turn - 1) AS src, conv_id || '_' || turn AS dst
+  FROM conversations WHERE turn > 0),
+reach AS (SELECT conv_id || '_0' AS node, 0 AS steps FROM conversations WHERE turn = 0
+          UNION SELECT e.dst, r.steps + 1 FROM reach r JOIN edges e ON e.src = r.node)
+SELECT node, min(steps)::int AS steps FROM reach GROUP BY 1""")
+def thread_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every comment below a thread's first one, and how many replies lie between."""
+    replies = roles.replies(spark, sf_dir)
+    below = replies.where(F.col("parent_id").startswith("t1_"))
+    edges = below.select(strip_kind("parent_id").alias("src"), F.col("id").alias("dst"))
+    return graph.reach(edges, replies.where(~F.col("parent_id").startswith("t1_")).select(F.col("id").alias("node")))
+
+
 @question("""
 SELECT event_id, round(value - avg(value) OVER (PARTITION BY user_id) + 1e-9, 6) AS value FROM events""")
 def demeaned_values(spark: SparkSession, sf_dir: str) -> DataFrame:

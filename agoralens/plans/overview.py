@@ -10,7 +10,7 @@ from agoralens.operators import engagement, ordering, sequences, split, stats, t
 from agoralens.plans import roles
 from agoralens.plans.registry import question
 from agoralens.sources import ingest, tables
-from agoralens.sources.scratch import cut_lineage, new_folder
+from agoralens.sources.scratch import stored, new_folder
 
 
 def settled(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -132,7 +132,7 @@ def _lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, written once: questions that pass over lengths several times read texts once."""
-    return cut_lineage(_lengths(spark, sf_dir).select("post_length", "num_comments"))
+    return stored(_lengths(spark, sf_dir).select("post_length", "num_comments"))
 
 
 LENGTHS = f"""lengths AS (
@@ -227,7 +227,7 @@ SELECT id, num_comments, score FROM posts
 WHERE num_comments <= (SELECT quantile_cont(num_comments, 0.99) FROM posts)
   AND score <= (SELECT quantile_cont(score, 0.99) FROM posts)""")
 def clip_at_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = cut_lineage(roles.posts(spark, sf_dir).select("id", "num_comments", "score"))
+    posts = stored(roles.posts(spark, sf_dir).select("id", "num_comments", "score"))
     kept = stats.clip_at_quantile(posts, {"num_comments": 0.99, "score": 0.99})
     return kept.select("id", "num_comments", "score")
 
@@ -454,17 +454,11 @@ def topic_year_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @question("""
-SELECT topic, n_1995, n_1996, n_1997, round((n_1996 - n_1995) / n_1995 + 1e-9, 6) AS growth_1996,
-       round((n_1997 - n_1996) / n_1996 + 1e-9, 6) AS growth_1997
-FROM (SELECT o_orderpriority AS topic, count(*) FILTER (year(o_orderdate) = 1995) AS n_1995,
-             count(*) FILTER (year(o_orderdate) = 1996) AS n_1996,
-             count(*) FILTER (year(o_orderdate) = 1997) AS n_1997
-      FROM orders GROUP BY 1)""")
+WITH c AS (SELECT o_orderpriority AS topic, year(o_orderdate)::int AS year, count(*) AS n FROM orders GROUP BY 1, 2)
+SELECT c.topic, c.year, c.n, round((c.n - b.n) / b.n + 1e-9, 6) AS growth
+FROM c LEFT JOIN c b ON b.topic = c.topic AND b.year = c.year - 1""")
 def topic_year_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = engagement.topic_year_growth(
-        roles.bare_posts(spark, sf_dir), [1995, 1996, 1997], "topic"
-    )
-    return settled(out, 6, "growth_1996", "growth_1997")
+    return settled(engagement.topic_year_changes(roles.bare_posts(spark, sf_dir), "topic"), 6, "growth")
 
 
 _CORR_OVER_TIME = """
@@ -514,6 +508,6 @@ SELECT id, num_comments, CASE WHEN num_comments >= (SELECT quantile_cont(num_com
                               THEN 'high' ELSE 'low' END AS engagement
 FROM posts""")
 def split_at_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = cut_lineage(roles.posts(spark, sf_dir).select("id", "num_comments"))
+    posts = stored(roles.posts(spark, sf_dir).select("id", "num_comments"))
     out = engagement.split_at_quantile(posts)
     return out.select("id", "num_comments", "engagement")

@@ -9,14 +9,14 @@ from agoralens.operators import topics
 from agoralens.plans import roles
 from agoralens.plans.overview import settled
 from agoralens.plans.registry import question
-from agoralens.sources.scratch import cut_lineage
+from agoralens.sources.scratch import stored
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token lists of all text posts, written once because LDA passes over them many times."""
     posts = roles.post_texts(spark, sf_dir)
     joined = posts.select("id", joined_tokens(tokenize("selftext")).alias("clean_text"))
-    return cut_lineage(topics.word_tokens(joined))
+    return stored(topics.word_tokens(joined))
 
 
 @question()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 
 def _table(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -62,7 +62,15 @@ def require_columns(df: DataFrame, contract: T.StructType) -> DataFrame:
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Project to the contract's columns and types.
 
-    Text that does not parse as the wanted type becomes NULL instead of failing the job.
+    Text that does not parse as the wanted type becomes NULL instead of failing the job;
+    `unparsed` counts such values.
     """
     require_columns(df, contract)
     return df.select(*[df[f.name].try_cast(f.dataType).alias(f.name) for f in contract.fields])
+
+
+def unparsed(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """One row: for each contract column, how many values `conform` turns into NULL."""
+    require_columns(df, contract)
+    lost = [df[f.name].isNotNull() & df[f.name].try_cast(f.dataType).isNull() for f in contract.fields]
+    return df.agg(*[F.count_if(c).alias(f.name) for c, f in zip(lost, contract.fields)])

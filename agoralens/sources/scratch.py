@@ -7,30 +7,59 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`, which every executor can reach.
 
-    If the setting is missing, a local-mode session gets a temporary folder; a cluster session is
-    refused, since a machine-local folder would be lost with its machine.
+    If the setting is missing, a session whose executors are threads of this process gets a
+    temporary folder; a cluster session is refused, since a machine-local folder would be lost with
+    its machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="agoralens-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return folder
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write to the shared folder as Parquet and read back.
+
+    Later steps read only the columns they need, start from the table's true size, and survive the
+    loss of any executor without repeating what made it.
+    """
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise to the shared folder, so a lost executor replays one step, not the whole loop."""
-    shared_folder(df.sparkSession)
+    """A reliable checkpoint for the small state of a loop, so a lost executor replays one step.
+
+    Rows are kept whole and keep the size estimate of what made them; store tables that are read
+    several times, or whose loop runs long, with `stored`.
+    """
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this process has stored. Call it when the results that read it are written."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)

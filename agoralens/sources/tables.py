@@ -120,9 +120,9 @@ def write_bucketed(
 
 def write_report_csv(df: DataFrame, path: str) -> None:
     """One CSV file with a header. Only for report-sized tables: one task writes everything."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_report_parquet(df: DataFrame, path: str) -> None:
     """One Parquet file. Only for report-sized tables such as daily series."""
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    df.repartition(1).write.mode("overwrite").parquet(path)

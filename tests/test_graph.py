@@ -41,3 +41,11 @@ def test_closure(spark):
 
 def test_closure_of_no_edges(spark):
     assert graph.transitive_closure(spark.createDataFrame([], "src int, dst int")).count() == 0
+
+
+def test_reach(spark):
+    edges = [(1, 2), (2, 3), (3, 1), (3, 4), (1, 4), (7, 8)]
+    df = spark.createDataFrame(edges, "src int, dst int")
+    seeds = spark.createDataFrame([(1,), (1,), (9,)], "node int")
+    assert rows(graph.reach(df, seeds)) == [(1, 0), (2, 1), (3, 2), (4, 1), (9, 0)]
+    assert graph.reach(df, seeds.limit(0)).count() == 0

@@ -120,3 +120,24 @@ def test_stream_reads_a_single_file_and_a_folder(spark, tmp_path):
 
     for source in (path, file):
         assert rows(to_table(tables.read_table_stream(spark, source, schema))) == [(i,) for i in range(5)]
+
+
+def test_unparsed_values_are_counted(spark):
+    from pyspark.sql import types as T
+
+    from agoralens.sources import schemas
+
+    contract = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    df = spark.createDataFrame([("1", "x"), ("one", "y"), (None, "z")], "a string, b string")
+    assert schemas.unparsed(df, contract).first().asDict() == {"a": 1, "b": 0}
+    assert schemas.conform(df, contract).where("a IS NULL").count() == 2
+
+
+def test_stored_tables_are_cleared(spark):
+    import os
+
+    df = scratch.stored(spark.range(10), "cleared")
+    folder = df.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert df.count() == 10 and os.path.isdir(folder)
+    scratch.clear(spark)
+    assert not os.path.exists(folder)
