@@ -11,11 +11,12 @@ from agoralens.functions.keys import is_direct_reply, strip_kind
 from agoralens.functions.numbers import ratio
 from agoralens.functions.text import has_mark, space_pieces
 from agoralens.operators.lookups import spread_join
-from agoralens.sources.scratch import cut_lineage
+from agoralens.sources.scratch import stored
 
 # Words that mark a negative comment.
 NEGATIVE_WORDS = ("toxic", "abusive", "gaslight")
 
+# Names of the model features, in the order of the models' inputs.
 COMMENT_FEATURES = (
     "comment_score_mean", "comment_score_max", "comment_score_sum",
     "comment_len_mean", "comment_len_max", "comment_len_sum",
@@ -191,25 +192,33 @@ def context_features(comments: DataFrame, created: str = "created") -> DataFrame
     )
 
 
-def thread_depth(comments: DataFrame, max_rounds: int = 40) -> DataFrame:
+def thread_depth(comments: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """(id, depth): 1 for a reply to the post, one more than the parent's for other comments.
 
     A comment whose chain ends at a missing parent counts from there. Every comment points at an
     ancestor and each round replaces it by the ancestor's ancestor, so the number of rounds grows
     with the logarithm of the depth. Comments that reached the top leave the joins. A parent with
-    very many replies is split over tasks. Comments in a reply cycle get NULL.
+    very many replies is split over tasks. Comments in a reply cycle, and those below it, get NULL:
+    after k rounds only 2**k comments of a chain with an end are no longer open, so once at most
+    2**k are open, one more round ends every such chain, and what is left is in a cycle.
     """
     parent = F.when(is_direct_reply("parent_id") == 0, strip_kind("parent_id"))
     state = comments.select(
         F.col("id").cast("string").alias("id"), parent.alias("up"), F.lit(1).cast("long").alias("depth")
     )
-    finished, open_rows = None, cut_lineage(state)
-    for _ in range(max_rounds):
+    finished, open_rows = None, stored(state)
+    rounds, ending = 0, False
+    while True:
         done = open_rows.where(F.col("up").isNull())
         waiting = open_rows.where(F.col("up").isNotNull())
         finished = done if finished is None else finished.unionByName(done)
-        if waiting.isEmpty():
+        n_open = waiting.count()
+        if n_open == 0:
             return finished.select("id", "depth")
+        if ending or rounds == max_rounds:
+            break
+        ending = n_open <= 2**rounds
+        rounds += 1
         # An ancestor is either finished or itself on the way up.
         ancestors = finished.unionByName(waiting).select(
             F.col("id").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth")
@@ -219,6 +228,6 @@ def thread_depth(comments: DataFrame, max_rounds: int = 40) -> DataFrame:
             F.col("_up").alias("up"),
             (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
         )
-        open_rows = cut_lineage(moved)
-    stuck = open_rows.select("id", F.lit(None).cast("long").alias("depth"))
+        open_rows = stored(moved)
+    stuck = waiting.select("id", F.lit(None).cast("long").alias("depth"))
     return finished.select("id", "depth").unionByName(stuck)

@@ -19,6 +19,7 @@ TARGET = "n_posts"
 LAGS = (1, 2, 3, 7, 14, 21, 28)
 MEAN_DAYS = (7, 14, 30)
 SPREAD_DAYS = (7, 14)
+# Names of the daily features, in the order of the models' inputs.
 FEATURES = (
     "day_of_week", "month", "day_of_year", "is_weekend",
     *[f"lag_{k}" for k in LAGS],
@@ -105,6 +106,7 @@ def _regression(stage, features: Sequence[str]) -> Pipeline:
 
 
 def estimators(features: Sequence[str] = FEATURES, seed: int = 42) -> dict[str, Pipeline]:
+    # Model settings.
     common = {"featuresCol": "features", "labelCol": TARGET}
     return {
         name: _regression(stage, features)

@@ -10,6 +10,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     CountVectorizer,
     RegexTokenizer,
+    SQLTransformer,
     StandardScaler,
     StopWordsRemover,
     VectorAssembler,
@@ -137,15 +138,15 @@ def controversy_pipeline(
     features: Sequence[str] = COMMENT_ROW_FEATURES, *, trees: bool = False, seed: int = 42
 ) -> Pipeline:
     """Comment features into a logistic regression, or a random forest for importances."""
-    # "skip" leaves out rows that lack a feature, such as a comment without a body.
-    assembler = VectorAssembler(
-        inputCols=list(features), outputCol="features", handleInvalid="skip"
-    )
+    # A missing feature, as of a comment without a body, counts as 0, so every row is trained on and scored.
+    filled = ", ".join(f"coalesce(double(`{f}`), 0D) AS `filled_{f}`" for f in features)
+    fill = SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+    assembler = VectorAssembler(inputCols=[f"filled_{f}" for f in features], outputCol="features")
     if trees:
         model = RandomForestClassifier(labelCol=LABEL, seed=seed)
     else:
         model = LogisticRegression(labelCol=LABEL)
-    return Pipeline(stages=[assembler, model])
+    return Pipeline(stages=[fill, assembler, model])
 
 
 def cross_validate(

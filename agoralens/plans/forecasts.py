@@ -8,7 +8,7 @@ from agoralens.operators import forecast, ml, split
 from agoralens.plans import roles
 from agoralens.plans.overview import settled
 from agoralens.plans.registry import question
-from agoralens.sources.scratch import cut_lineage
+from agoralens.sources.scratch import stored
 
 _DAILY = "daily AS (SELECT o_orderdate::date AS date, count(*) AS n_posts FROM orders GROUP BY 1)"
 _FILLED = """filled AS (
@@ -83,7 +83,7 @@ def chronological_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Training and validation days together, and test days. Day-level, written once."""
-    days = cut_lineage(split.chronological_split(_forecast_features(spark, sf_dir)))
+    days = stored(split.chronological_split(_forecast_features(spark, sf_dir)))
     names = F.col("split")
     train = days.where(names == "train").unionByName(days.where(names == "validation"))
     return train, days.where(names == "test")

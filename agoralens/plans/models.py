@@ -9,7 +9,7 @@ from agoralens.operators import clean, features, ml, split, stats
 from agoralens.plans import roles
 from agoralens.plans.overview import settled
 from agoralens.plans.registry import question
-from agoralens.sources.scratch import cut_lineage
+from agoralens.sources.scratch import stored
 
 # ---- features --------------------------------------------------------------------------------
 
@@ -156,7 +156,7 @@ _WITH_SCORED = roles.with_tables(roles.POSTS, _LABELLED)
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = roles.posts(spark, sf_dir).select("id", "score", "num_comments")
     # Comments are counted once, for the threshold and for the labels.
-    return ml.quantile_label(cut_lineage(posts))
+    return ml.quantile_label(stored(posts))
 
 
 def _rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +243,7 @@ def roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label and score only, written once for questions that pass over them several times."""
-    return cut_lineage(_rule_scored(spark, sf_dir).select("label", "probability_positive"))
+    return stored(_rule_scored(spark, sf_dir).select("label", "probability_positive"))
 
 
 @question(f"""{_WITH_SCORED}, {_CURVE}
@@ -284,7 +284,7 @@ def scored_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _comment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature table of all comments, written once because training passes over it many times."""
     rows = _comment_features(spark, sf_dir)
-    return cut_lineage(rows.select("id", *features.COMMENT_ROW_FEATURES, "label"))
+    return stored(rows.select("id", *features.COMMENT_ROW_FEATURES, "label"))
 
 
 def _metrics(model, train: DataFrame, test: DataFrame) -> DataFrame:
@@ -337,14 +337,14 @@ def _engagement_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     threads = features.comment_features(comments.withColumn("link_id", strip_kind("link_id")))
     joined = features.with_comment_features(posts, threads)
     columns = ["id", "clean_text", "num_comments", *features.POST_FEATURES, *features.COMMENT_FEATURES]
-    stored = cut_lineage(joined.fillna(0, subset=["num_comments"]).select(*columns))
-    return ml.quantile_label(stored)
+    rows = stored(joined.fillna(0, subset=["num_comments"]).select(*columns))
+    return ml.quantile_label(rows)
 
 
 @question()
 def engagement_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = split.hash_split(_engagement_rows(spark, sf_dir), "id")
-    weighted = cut_lineage(ml.with_class_weights(train))
+    weighted = stored(ml.with_class_weights(train))
     model = ml.cross_validate(ml.engagement_pipeline(), weighted, "id")
     return _metrics(model, weighted, test)
 
@@ -353,7 +353,7 @@ def engagement_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def engagement_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Random forest on oversampled posts, and always guessing the larger class."""
     train, test = split.hash_split(_engagement_rows(spark, sf_dir), "id")
-    forest = ml.engagement_forest().fit(cut_lineage(ml.oversample(train, "id")))
+    forest = ml.engagement_forest().fit(stored(ml.oversample(train, "id")))
     return ml.evaluate_binary(ml.score(forest, test), "forest").unionByName(
         ml.evaluate_binary(ml.majority_baseline(test), "majority")
     )

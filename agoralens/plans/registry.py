@@ -28,6 +28,7 @@ def question(sql: str | None = None, name: str | None = None) -> Callable[[Quest
 def load_all() -> None:
     """Import every module that registers questions."""
     from agoralens.plans import (  # noqa: F401
+        defaults,
         forecasts,
         graphs,
         models,

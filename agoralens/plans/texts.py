@@ -15,13 +15,14 @@ from agoralens.functions.stemming import (
     longest_first,
     stem_tokens,
 )
-from agoralens.functions.text import each_word, json_safe, joined_tokens, strip_markup, tokenize
+from agoralens.functions.text import json_safe, joined_tokens, strip_markup, tokenize
 from agoralens.operators import clean, emotion, engagement, language, stats, temporal
 from agoralens.operators.emotion import EMOTIONS
+from agoralens.operators.lookups import lookup_join
 from agoralens.plans import roles
 from agoralens.plans.overview import settled
 from agoralens.plans.registry import question
-from agoralens.sources.scratch import cut_lineage
+from agoralens.sources.scratch import stored
 from agoralens.sources.tables import spread_few_files
 
 # ---- cleaning --------------------------------------------------------------------------------
@@ -303,14 +304,13 @@ def mean_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 @question(f"""{_WITH_WIDE},
 d AS (SELECT anger_count / emotion_token_count AS x FROM wide WHERE emotion_token_count IS NOT NULL),
 edges AS (SELECT min(x) AS lo, (max(x) - min(x)) / 50.0::double AS w FROM d)
-SELECT sum(n)::bigint AS n, count(*) AS bins
-FROM (SELECT least(49, floor((x - lo) / w)) AS bin, count(*) AS n FROM d, edges GROUP BY 1)""")
+SELECT bin, round(lo + bin * w + 1e-9, 6) AS bin_start, round(lo + (bin + 1) * w + 1e-9, 6) AS bin_end, n
+FROM (SELECT least(49, floor((x - lo) / w))::int AS bin, count(*) AS n FROM d, edges GROUP BY 1), edges""")
 def emotion_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many of 50 bins of anger density are in use, and rows in them."""
+    """Rows in each of 50 bins of anger density that is in use."""
     scored = emotion.densities(_wide(spark, sf_dir), "matched")
-    scored = cut_lineage(scored.select("anger_density"))
-    bins = stats.histogram(scored, "anger_density", 50)
-    return bins.agg(F.sum("n").alias("n"), F.count("*").alias("bins"))
+    scored = stored(scored.select("anger_density"))
+    return settled(stats.histogram(scored, "anger_density", 50), 6, "bin_start", "bin_end")
 
 
 @question(f"""{_WITH_WIDE}
@@ -346,7 +346,7 @@ def sentiment_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = emotion.polarity(emotion.densities(_wide(spark, sf_dir), "matched"))
     joined = scored.select("id", "polarity").join(roles.post_meta(spark, sf_dir), "id")
     # Ranks pass over the scores several times; the texts are read once.
-    joined = cut_lineage(joined.select("polarity", "score", "num_comments"))
+    joined = stored(joined.select("polarity", "score", "num_comments"))
     out = engagement.sentiment_correlation(joined, "polarity", ["score", "num_comments"])
     return settled(out, 6, "pearson", "slope", "r2", "spearman")
 
@@ -378,6 +378,7 @@ def style_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Names and limits of the style groups.
 _STYLE_LABELS = {
     "post_length_tokens": "postlength",
     "emotional_vocab_density": "emotionalworddensity",
@@ -460,11 +461,10 @@ def group_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counted per post half. Words are counted per post first, so the join carries counts."""
-    words = each_word(_docs(spark, sf_dir), "tokens", "id")
-    per_post = words.groupBy("id", "word").agg(F.count("*").alias("n"))
-    joined = per_post.join(_engaged(spark, sf_dir), "id")
-    return joined.groupBy("engagement", "word").agg(F.sum("n").alias("count"))
+    """Counted per post half. Posts get their half first, so that only counts of distinct words are
+    shuffled."""
+    halves = stored(_engaged(spark, sf_dir), "halves")
+    return language.word_counts(lookup_join(_docs(spark, sf_dir), halves, ["id"]))
 
 
 _COUNTED = """counted AS (

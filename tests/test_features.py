@@ -156,3 +156,22 @@ def test_majority_baseline(spark):
     base = ml.majority_baseline(scored(spark))
     assert {r.prediction for r in base.collect()} == {1.0}
     assert ml.roc_auc(base, "probability_positive").first().auc == pytest.approx(0.5)
+
+
+def test_thread_depth_ends_on_cycles_by_itself(spark):
+    chain = [(f"n{i}", f"t1_n{i - 1}" if i else "t3_p", "t3_p") for i in range(40)]
+    cycle = [("a", "t1_b", "t3_p"), ("b", "t1_a", "t3_p"), ("below", "t1_a", "t3_p")]
+    df = spark.createDataFrame(chain + cycle, "id string, parent_id string, link_id string")
+    depth = {r["id"]: r["depth"] for r in features.thread_depth(df).collect()}
+    assert depth == {f"n{i}": i + 1 for i in range(40)} | {"a": None, "b": None, "below": None}
+
+
+def test_controversy_model_scores_rows_without_features(spark):
+    from agoralens.operators import ml
+
+    rows_in = [(i, None if i % 4 == 0 else float(i % 7), float(i % 3), float(i % 2)) for i in range(80)]
+    df = spark.createDataFrame(rows_in, "id int, a double, b double, label double")
+    for trees in (False, True):
+        model = ml.controversy_pipeline(["a", "b"], trees=trees).fit(df)
+        scored = ml.score(model, df)
+        assert scored.where("probability_positive IS NOT NULL").count() == 80
