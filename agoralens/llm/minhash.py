@@ -7,8 +7,10 @@ and the work stops: long sets need one or two places. Ranks within one element e
 which makes estimates less scattered than those of independent hashes.
 
 Copies (equal sets) are one node from the start. Nodes that share a band share a bucket. In every
-bucket the node that meets most others anywhere (the leader) is compared with all of the bucket;
-only pairs that the resulting groups leave apart are compared after that.
+bucket the node that meets most others anywhere (the leader) is compared with all of the bucket.
+After that only pairs in different groups are compared, and only if what each shares with any other
+open node leaves room for enough likeness: edits of one text that are too far from it have too many
+shingles of their own to be near each other.
 """
 
 from __future__ import annotations
@@ -106,18 +108,23 @@ def _signed(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFr
 
 
 def _with_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """`node` and its `items` (the set), once per node."""
+    """`node`, the same as two numbers `hi` and `lo`, and its `items` (the set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 sets = list(_sets(batch.slice(at, 500), text_col, shingle))
+                nodes = [_node(s) for s in sets]
+                halves = np.frombuffer(b"".join(nodes), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_node(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                    names=["node", "items"],
+                    [
+                        pa.array(nodes, pa.binary()), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
+                        pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    ],
+                    names=["node", "hi", "lo", "items"],
                 )
 
-    return docs.select(id_col, text_col).mapInArrow(run, "node binary, items array<long>")
+    return docs.select(id_col, text_col).mapInArrow(run, "node binary, hi long, lo long, items array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -125,6 +132,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     its pairs are dealt to as many tasks as their number asks for, each with a copy of its set."""
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
     dealt = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")).drop("parts")
+    sets = sets.select("node", "items")
     left = parts.join(sets.withColumnRenamed("node", "a"), "a").withColumnRenamed("items", "items_a")
     left = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
     right = dealt.join(sets.withColumnRenamed("node", "b"), "b").withColumnRenamed("items", "items_b")
@@ -167,7 +175,8 @@ def near_groups(
         "nodes",
     )
     placed = nodes.select("node", F.explode(F.array(*bands)).alias("bucket"))
-    buckets = placed.groupBy("bucket").agg(F.count("*").alias("n_nodes")).where("n_nodes > 1")
+    # Stored, so that the join may split a bucket that very many nodes are in.
+    buckets = stored(placed.groupBy("bucket").agg(F.count("*").alias("n_nodes")).where("n_nodes > 1"), "buckets")
     members = stored(placed.join(buckets, "bucket"), "members")
     met = members.groupBy("node").agg(F.sum("n_nodes").alias("met"))
     ranked = members.join(met, "node")
@@ -187,16 +196,24 @@ def near_groups(
     open_members = described.join(open_buckets, "bucket").join(leaders, "bucket").join(
         nodes.select("node", "n", F.array(*bands).alias("own")), "node"
     )
+    # Items that no other open node has are in no common part, which bounds the likeness of a pair.
+    own_items = sets.join(open_members.select("node").distinct(), "node", "left_semi")
+    items = own_items.select("hi", "lo", F.explode("items").alias("item"))
+    lone = items.groupBy("item").agg(F.count("*").alias("held"), F.min("hi").alias("hi"), F.min("lo").alias("lo"))
+    lone = lone.where("held = 1").groupBy("hi", "lo").agg(F.count("*").alias("alone"))
+    lone = own_items.select("node", "hi", "lo").join(lone, ["hi", "lo"]).select("node", "alone")
+    open_members = open_members.join(lone, "node", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
     open_members = stored(open_members, "open")
     led = open_members.where(F.col("node") == F.col("a")).select("bucket", F.col("group").alias("led"))
     open_members = open_members.join(led, "bucket").withColumn("apart", F.col("group") != F.col("led")).drop("a", "led")
     x, y = open_members.where("apart").alias("x"), open_members.alias("y")
     once = ~F.col("y.apart") | (F.col("x.node") < F.col("y.node"))
-    sizes = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+    most = F.least("x.shared", "y.shared")
+    bound = 100 * most >= percent * (F.col("x.n") + F.col("y.n") - most)
     # A pair that meets in several buckets counts in the first of them.
     same = F.zip_with("x.own", "y.own", lambda a, b: F.when(a == b, a))
     first = F.filter(same, lambda v: v.isNotNull())[0] == F.col("x.bucket")
-    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.group") != F.col("y.group")) & once & sizes & first)
+    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.group") != F.col("y.group")) & once & bound & first)
     rest = rest.select(F.col("y.node").alias("a"), F.col("x.node").alias("b"))
     rest = stored(rest.join(star, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
