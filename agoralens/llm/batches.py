@@ -14,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
+#: Rows of a column that are copied at a time.
+SLICE_ROWS = 500
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -75,9 +77,13 @@ def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[Chunk]:
     that temporary arrays stay small whatever the batch holds. A NULL is an empty text."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
+    for first in range(0, len(texts), SLICE_ROWS):
+        for chunk in _chunks(texts.slice(first, SLICE_ROWS), most):
+            yield chunk._replace(first=first + chunk.first)
+
+
+def _chunks(texts: pa.Array, most: int) -> Iterator[Chunk]:
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if not len(texts):
-        return
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
