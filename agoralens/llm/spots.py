@@ -34,13 +34,16 @@ def spots(text: str | Column) -> Column:
     marked = F.transform(words, lambda w: F.when(w.isin(ANCHORS), F.concat(w, F.lit(_MARK))).otherwise(w))
     # Cut after every word that is no anchor: each part is a content word with the anchors before it.
     parts = F.split(F.concat(F.lit(f"^{_MARK} "), F.array_join(marked, " ")), f"(?<!{_MARK}) ")
-    chained = F.zip_with(
-        parts, F.slice(parts, 2, F.greatest(F.lit(1), F.size(parts) - 1)),
-        lambda a, b: F.when(
-            F.contains(a, F.lit(_MARK)), F.xxhash64(a, F.substring_index(F.coalesce(b, F.lit("")), f"{_MARK} ", -1))
-        ),
+
+    def chain(a: Column, b: Column) -> Column:
+        anchored = F.contains(a, F.lit(_MARK)) & (a != f"^{_MARK} ")
+        return F.when(anchored, F.xxhash64(a, F.substring_index(F.coalesce(b, F.lit("")), f"{_MARK} ", -1)))
+
+    # As the one element of an array, the parts are made once, however often they are used.
+    chained = F.transform(
+        F.array(parts), lambda p: F.zip_with(p, F.slice(p, 2, F.greatest(F.lit(1), F.size(p) - 1)), chain)
     )
-    return F.when(F.size(words) > 0, F.filter(chained, lambda h: h.isNotNull())).otherwise(F.array().cast("array<bigint>"))
+    return F.filter(chained[0], lambda h: h.isNotNull())
 
 
 def sketch(text: str | Column) -> Column:
@@ -156,7 +159,8 @@ def fingerprint_and_edited(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     known = texts.where(F.col("id").isNotNull())
     following = (
         known.join(links, "id")
-        .where(F.xxhash64("text") == F.col("hash"))
+        # No equality of two columns, which would become a second join key and a second shuffle.
+        .where(F.xxhash64("text") - F.col("hash") == 0)
         .select(
             F.col("owner").alias("id"),
             F.substring("text", F.lit(1), F.floor(F.col("longest") / 3).cast("int")).alias("beginning"),
