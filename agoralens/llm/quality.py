@@ -200,9 +200,13 @@ def fit(
 
 
 def train(stats: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", label_col: str = "quality", most: int = 20_000) -> Trees:
-    """Trees for `label_col` = 1 from at most `most` labelled rows (those of smallest id hash)."""
+    """Trees for `label_col` = 1 from about `most` labelled rows: all, or a sample by id hash."""
     known = lookup_join(stats.select(id_col, "features"), labels.select(id_col, label_col).dropna().dropDuplicates([id_col]), [id_col])
-    rows = known.orderBy(F.xxhash64(id_col), id_col).limit(most).select("features", label_col).toPandas()
+    # Chosen row by row, so that no task sends more than its share of the sample.
+    share = most / max(1, labels.count())
+    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = known.where(draw < share).select("features", label_col).toPandas()
+    rows = rows.sort_values([label_col, "features"], key=lambda c: c if c.name == label_col else c.map(tuple))
     x = np.array(rows["features"].tolist(), float).reshape(-1, len(FEATURES))
     return fit(x, rows[label_col].to_numpy(float), [MONOTONE.get(f, 0) for f in FEATURES])
 
