@@ -4,8 +4,7 @@ Common words are anchors. A spot signature is an anchor (or several in a row) wi
 two content words that follow, other anchors skipped; the start of a text is an anchor too. Spots
 leave out text without common words, such as menus, and depend on nothing outside the text.
 
-The fingerprint of a text is the size of its signature set and the set's smallest `KEPT` hashes:
-all of them for most texts, for long ones a sample by hash, from which likeness is estimated.
+The fingerprint of a text is the size of its signature set and the hashes of the whole set, sorted.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from agoralens.operators.ordering import running_totals, value_counts
 from agoralens.sources.scratch import new_folder
 
-KEPT = 128
 #: Common words of English, German, French and Spanish.
 ANCHORS = (
     "the a an is was are be of and to in that it for on with as by from or this at not "
@@ -47,11 +45,11 @@ def spots(text: str | Column) -> Column:
 
 
 def sketch(text: str | Column) -> Column:
-    """`n` (distinct signatures) and `least` (the smallest hashes, sorted)."""
+    """`n` (distinct signatures) and `least` (all their hashes, the least first)."""
     distinct = F.array_distinct(spots(text))
     return F.transform(
         F.array(distinct),
-        lambda s: F.struct(F.size(s).alias("n"), F.slice(F.sort_array(s), 1, KEPT).alias("least")),
+        lambda s: F.struct(F.size(s).alias("n"), F.sort_array(s).alias("least")),
     )[0]
 
 
@@ -61,15 +59,12 @@ def shown(found: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard likeness of two sketches, 0 to 1: exact if neither set was cut, else estimated on the
-    smallest hashes of the union. Never above the ratio of the set sizes; 1 for two empty sets."""
-    union = F.slice(F.sort_array(F.array_union(a["least"], b["least"])), 1, KEPT)
-    both = F.size(F.array_intersect(F.array_intersect(a["least"], b["least"]), union))
-    bound = F.least(a["n"], b["n"]) / F.greatest(a["n"], b["n"])
+    """Jaccard likeness of two signature sets, 0 to 1; 1 for two empty sets."""
+    shared = F.transform(F.array(F.size(F.array_intersect(a["least"], b["least"]))), lambda k: k / (a["n"] + b["n"] - k))[0]
     return (
         F.when((a["n"] == 0) & (b["n"] == 0), F.lit(1.0))
         .when((a["n"] == 0) | (b["n"] == 0), F.lit(0.0))
-        .otherwise(F.least(bound, both / F.size(union)))
+        .otherwise(shared)
     )
 
 

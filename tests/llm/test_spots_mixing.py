@@ -71,6 +71,22 @@ def test_fingerprints_of_awkward_rows(awkward, empty):
     assert spots.fingerprint_and_edited(empty).count() == 0
 
 
+def test_whole_sets_of_long_texts(spark):
+    """Long texts that differ only in the signatures with the largest hashes are not the same."""
+    parts = [f"the {w}x {w}y" for w in dict.fromkeys(words(9, 600))]
+    df = spark.createDataFrame([(k, p) for k, p in enumerate(parts)], "k int, text string")
+    first = {r.k: r.h[-1] for r in df.where("k > 0").select("k", spots.spots(F.concat(F.lit("a b "), "text")).alias("h")).collect()}
+    last = sorted(first, key=first.get)[-20:]
+    texts = [" ".join(parts), " ".join(p.replace("the ", "der ") if k in last else p for k, p in enumerate(parts))]
+    sets = [signatures(t) for t in texts]
+    rows = spots.fingerprint_and_edited(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()
+    assert min(map(len, sets)) > 400 and sets[0] != sets[1]
+    assert rows[0].fingerprint != rows[1].fingerprint
+    for r in rows:
+        assert r.near_next == pytest.approx(len(sets[0] & sets[1]) / len(sets[0] | sets[1]))
+        assert len(r.fingerprint.split(":")[1].split(",")) == int(r.fingerprint.split(":")[0]) == len(sets[r.doc_id])
+
+
 def test_single_row_is_its_own_next(spark):
     df = spark.createDataFrame([(5, "the one text of a table is its own next")], "doc_id long, text string")
     r = spots.fingerprint_and_edited(df).first()
