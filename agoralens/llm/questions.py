@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agoralens.llm import char_model, language, minhash, mixing, personal_data, piece_codec, quality, spots, substrings, url_filter
+from agoralens.llm import language, minhash, mixing, personal_data, piece_codec, quality, spots, substrings, url_filter, word_model
 from agoralens.operators.lookups import lookup_join
 
 Question = Callable[[SparkSession, str], DataFrame]
@@ -137,7 +137,7 @@ def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels")
     good = labels.where("quality = 1 AND toxic = 0").select("doc_id", F.lit(True).alias("good")).distinct()
-    return char_model.score(docs, char_model.count(lookup_join(docs, good, ["doc_id"], "left"), "good"))
+    return word_model.score(docs, word_model.count(lookup_join(docs, good, ["doc_id"], "left"), "good"))
 
 
 # ---- 5: language -------------------------------------------------------------------------------

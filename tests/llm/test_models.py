@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from agoralens.llm import char_model, language, quality
+from agoralens.llm import char_model, language, quality, questions, word_model
 
 SF = "/root/testdata/sf0.01"
 
@@ -54,6 +54,49 @@ def test_scores_separate_bad_texts(spark, awkward):
     assert char_model.score(awkward, char_model.count(awkward.withColumn("good", F.lit(None).cast("boolean")), "good")).count() == awkward.count()
 
 
+@pytest.mark.parametrize("frequent", [0, 3, 1_000])
+def test_word_losses_like_brute_force(spark, frequent):
+    rows = [(1, "the cat saw The cat", True), (1, "кот видел кота", None), (3, None, True), (None, " \n", None), (5, "日本 the cat saw", False), (5, "the dog saw the cat the cat", True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, good boolean").withColumn("gram", F.lit(1))
+    tokens = [(t or "").lower().split() for _, t, _ in rows]
+    pairs = [list(zip(["^", *w], w)) for w in tokens]
+    both = {True: Counter(p for q, r in zip(pairs, rows) if r[2] for p in q), False: Counter(p for q in pairs for p in q)}
+    size = len({w for t in tokens for w in t})
+
+    def loss(target, pair):
+        c, (a, b) = both[target], WEIGHTS
+        head = sum(n for p, n in c.items() if p[0] == pair[0])
+        word = sum(n for p, n in c.items() if p[1] == pair[1]) / sum(c.values())
+        return -math.log(a * (c[pair] / head if head else 1 / size) + b * word + (1 - a - b) / size)
+
+    WEIGHTS = word_model.WEIGHTS
+    expected = [
+        (i, len(p), *[round(np.mean([loss(t, x) for x in p]), 9) if p else None for t in (True, False)]) for (i, *_), p in zip(rows, pairs)
+    ]
+    found = word_model.score(df, word_model.count(df, "good"), frequent=frequent).collect()
+    assert sorted([(r.doc_id, r.n_tokens, *[None if x is None else round(x, 9) for x in r[2:4]]) for r in found], key=str) == sorted(expected, key=str)
+
+
+def test_word_model_grows_and_knows_every_script(spark, awkward, empty):
+    """Words of letters without an a-z base tell texts apart, in the query too; tables follow the corpus."""
+    rows = [(k, f"хорошие слова {w} стоят здесь", "en", "a", 1) for k, w in enumerate(["тут", "там"] * 5)]
+    rows += [(k + 10, f"дурацкие буквы {w} лежат рядом", "en", "a", 1) for k, w in enumerate(["тут", "там"] * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    folder = word_model.stored(docs, "documents").inputFiles()[0].rsplit("/", 1)[0]
+    labels = docs.where("doc_id < 10").select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    made = {"documents": folder, "labels": word_model.stored(labels, "labels").inputFiles()[0].rsplit("/", 1)[0]}
+    table, questions.table = questions.table, lambda s, _, name: s.read.parquet(made[name])
+    try:
+        found = {r.doc_id: r.difference for r in questions.op4_language_model(spark, "").collect()}
+    finally:
+        questions.table = table
+    assert max(found[k] for k in range(10)) + 1 < min(found[k] for k in range(10, 20))
+    sizes = [word_model.count(docs.where(F.col("doc_id") < n).withColumn("good", F.lit(True)), "good").count() for n in (1, 2, 20)]
+    assert sizes == [5, 7, 14]
+    assert word_model.score(awkward, word_model.count(awkward.withColumn("good", F.lit(None).cast("boolean")), "good")).count() == awkward.count()
+    assert word_model.score(empty, word_model.count(empty.withColumn("good", F.lit(True)), "good")).count() == 0
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language.train(docs.where(~language.held_out("doc_id")))
