@@ -4,6 +4,9 @@ Common words are anchors. A spot signature is an anchor (or several in a row) wi
 two content words that follow, other anchors skipped; the start of a text is an anchor too. Spots
 leave out text without common words, such as menus, and depend on nothing outside the text.
 
+Fingerprints cover the whole of every text: where no listed word is near, pairs of content words
+that follow each other are signatures too.
+
 The fingerprint of a text is the size of its signature set and the hashes of the whole set, sorted.
 """
 
@@ -26,8 +29,11 @@ ANCHORS = (
 _MARK = "\u0001"
 
 
-def spots(text: str | Column) -> Column:
-    """The hashes of a text's spot signatures, in order, with repeats. NULL is an empty text."""
+def spots(text: str | Column, *, cover: bool = False) -> Column:
+    """The hashes of a text's spot signatures, in order, with repeats. NULL is an empty text.
+
+    `cover` adds each content word that no spot holds, with the content word before it.
+    """
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
     marked = F.transform(words, lambda w: F.when(w.isin(ANCHORS), F.concat(w, F.lit(_MARK))).otherwise(w))
     # Cut after every word that is no anchor: each part is a content word with the anchors before it.
@@ -35,7 +41,9 @@ def spots(text: str | Column) -> Column:
 
     def chain(a: Column, b: Column) -> Column:
         anchored = F.contains(a, F.lit(_MARK)) & (a != f"^{_MARK} ")
-        return F.when(anchored, F.xxhash64(a, F.substring_index(F.coalesce(b, F.lit("")), f"{_MARK} ", -1)))
+        spot = F.when(anchored, F.xxhash64(a, F.substring_index(F.coalesce(b, F.lit("")), f"{_MARK} ", -1)))
+        bare = ~F.contains(a, F.lit(_MARK)) & ~F.contains(b, F.lit(_MARK))
+        return spot.when(bare, F.xxhash64(F.lit(""), a, b)) if cover else spot
 
     # As the one element of an array, the parts are made once, however often they are used.
     chained = F.transform(
@@ -44,9 +52,9 @@ def spots(text: str | Column) -> Column:
     return F.filter(chained[0], lambda h: h.isNotNull())
 
 
-def sketch(text: str | Column) -> Column:
+def sketch(text: str | Column, *, cover: bool = False) -> Column:
     """`n` (distinct signatures) and `least` (all their hashes, the least first)."""
-    distinct = F.array_distinct(spots(text))
+    distinct = F.array_distinct(spots(text, cover=cover))
     return F.transform(
         F.array(distinct),
         lambda s: F.struct(F.size(s).alias("n"), F.sort_array(s).alias("least")),
@@ -159,18 +167,19 @@ def fingerprint_and_edited(docs: DataFrame, *, id_col: str = "doc_id", text_col:
         .select(
             F.col("owner").alias("id"),
             F.substring("text", F.lit(1), F.floor(F.col("longest") / 3).cast("int")).alias("beginning"),
-            sketch("text").alias("next"),
+            sketch("text", cover=True).alias("next"),
         )
         .dropDuplicates(["id"])
     )
-    nothing = texts.where(F.col("id").isNull()).select("id", "text", F.lit("").alias("beginning"), sketch(F.lit("")).alias("next"))
+    nothing = texts.where(F.col("id").isNull()).select("id", "text", F.lit("").alias("beginning"), sketch(F.lit(""), cover=True).alias("next"))
     both = known.join(following, "id").unionByName(nothing)
     n = F.length("text")
     changed = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - changed), F.substring("beginning", F.lit(1), changed))
     found = both.select("id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "next")
     found = found.select(
-        "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), sketch("text").alias("own"), sketch("edited").alias("other"), "next"
+        "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        sketch("text", cover=True).alias("own"), sketch("edited", cover=True).alias("other"), "next",
     )
     return found.select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256",

@@ -87,6 +87,18 @@ def test_whole_sets_of_long_texts(spark):
         assert len(r.fingerprint.split(":")[1].split(",")) == int(r.fingerprint.split(":")[0]) == len(sets[r.doc_id])
 
 
+def test_fingerprints_cover_texts_without_anchors(spark):
+    """Every word counts: in texts without a listed word, and in long stretches without one."""
+    bare = list(dict.fromkeys(w + "x" for w in words(11, 300)))
+    for start in ([], ["the"]):
+        plain = [*start, *bare]
+        rows = [(k, " ".join([*plain[:k], "changed", *plain[k + 1 :]])) for k in range(3, len(plain), 17)]
+        found = spots.fingerprint_and_edited(spark.createDataFrame([*rows, (0, " ".join(plain))], "doc_id long, text string")).collect()
+        assert len({r.fingerprint for r in found}) == len(rows) + 1
+        assert all(0.9 < r.near_next < 1 for r in found if r.doc_id) and all(0.3 < r.near_edited < 1 for r in found if r.doc_id)
+        assert {int(r.fingerprint.split(":")[0]) for r in found} == {len(bare) - 1 + len(start) - (1 if start else 0)}
+
+
 def test_single_row_is_its_own_next(spark):
     df = spark.createDataFrame([(5, "the one text of a table is its own next")], "doc_id long, text string")
     r = spots.fingerprint_and_edited(df).first()
