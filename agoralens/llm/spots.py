@@ -99,7 +99,8 @@ def near_pairs(docs: DataFrame, threshold: float = 0.8, *, id_col: str = "doc_id
     items = sets.select("id", F.size("items").alias("n"), F.explode("items").alias("item"))
     common = items.groupBy("item").agg(F.count("*").alias("df"))
     ordered = items.join(common, "item").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("rare"))
-    first = (F.col("n") - F.ceil(F.lit(threshold) * F.col("n")) + 1).cast("int")
+    # Products of fractions may come out a little above whole numbers, which must not cost a pair.
+    first = (F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1).cast("int")
     heads = ordered.select("id", "n", F.posexplode(F.slice("rare.item", 1, first)).alias("rank", "item"))
     part = F.floor(F.log(F.col("n")) / F.lit(-math.log(threshold)) + 1e-9)
     heads = stored(heads.withColumn("part", part), "heads")
@@ -107,10 +108,10 @@ def near_pairs(docs: DataFrame, threshold: float = 0.8, *, id_col: str = "doc_id
     y = heads.withColumn("part", F.explode(F.array("part", F.col("part") + 1))).select(*[F.col(c).alias(f"{c}_b") for c in heads.columns])
     # x is the longer set (or has the larger id): it meets y in its own partition.
     longer = (F.col("n_a") > F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("id_a") > F.col("id_b")))
-    short = F.col("n_b") >= F.lit(threshold) * F.col("n_a")
+    short = F.col("n_b") + 1e-9 >= F.lit(threshold) * F.col("n_a")
     left = F.least(F.col("n_a") - F.col("rank_a"), F.col("n_b") - F.col("rank_b"))
     # Common signatures lie behind the first one; with fewer than needed the pair is out.
-    enough = left >= F.lit(threshold / (1 + threshold)) * (F.col("n_a") + F.col("n_b")) - F.col("rank_a")
+    enough = left + 1e-9 >= F.lit(threshold / (1 + threshold)) * (F.col("n_a") + F.col("n_b")) - F.col("rank_a")
     met = x.join(y, (F.col("item_a") == F.col("item_b")) & (F.col("part_a") == F.col("part_b")) & longer & short & enough)
     pairs = met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
     full = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("items_a")), "a").join(

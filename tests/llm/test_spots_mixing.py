@@ -122,6 +122,15 @@ def test_near_pairs_like_brute_force(spark):
     assert {r.doc_id: r.representative for r in spots.representatives(df).collect()}[10] == 0
 
 
+def test_pairs_at_the_threshold(spark):
+    """A set of 28 in one of 35 is 0.8 alike; what they share is rarer than the rest."""
+    parts = [f"the {w}x {w}y" for w in dict.fromkeys(words(12, 200))]
+    a, b = parts[:35], parts[:28]
+    rows = [(1, a), (2, b), (3, [*parts[40:100], *a[28:]]), (4, [*parts[100:160], *a[28:]])]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    assert [(r.a, r.b, r.likeness) for r in spots.near_pairs(df).collect()] == [(1, 2, 0.8)]
+
+
 def fill(sizes, weights, share, most):
     """Targets by giving out shares and resharing what is too much, round after round."""
     names = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
