@@ -140,16 +140,16 @@ def fingerprint_and_edited(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     Rows without an id come after no other and have an empty next text. NULL is an empty text.
 
     Ids find their neighbours by their place in the order, which is counted over ranges of ids;
-    texts are shuffled once by id, and the beginnings of the next texts once more.
+    texts are shuffled once by id, and once more as next texts, which are smaller than their sets.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     sizes = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.length(text).alias("n_chars"), F.xxhash64(text).alias("hash")
+        F.col(id_col).alias("id"), F.xxhash64(text).alias("hash")
     )
     folder = new_folder(spark, "ids")
-    sizes.groupBy("id").agg(F.max("n_chars").alias("longest"), F.min("hash").alias("hash")).write.parquet(folder)
+    sizes.groupBy("id").agg(F.min("hash").alias("hash")).write.parquet(folder)
     ids = spark.read.parquet(folder)
     places = running_totals(value_counts(ids, "id"), "value", ["n"], descending=True)
     placed = new_folder(spark, "places")
@@ -157,30 +157,26 @@ def fingerprint_and_edited(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     places = spark.read.parquet(placed)
     after = places.select(F.col("id").alias("owner"), F.pmod(F.col("place") + 1, F.col("total")).alias("place"))
     links = after.join(places.select("id", "place"), "place").drop("place")
-    longest = ids.select(F.col("id").alias("owner"), "longest")
-    links = links.join(longest, "owner").join(ids.select("id", "hash"), "id")
+    links = links.join(ids, "id")
 
     known = texts.where(F.col("id").isNotNull())
     following = (
         known.join(links, "id")
         # No equality of two columns, which would become a second join key and a second shuffle.
         .where(F.xxhash64("text") - F.col("hash") == 0)
-        .select(
-            F.col("owner").alias("id"),
-            F.substring("text", F.lit(1), F.floor(F.col("longest") / 3).cast("int")).alias("beginning"),
-            sketch("text", cover=True).alias("next"),
-        )
+        .select(F.col("owner").alias("id"), F.col("text").alias("following"))
         .dropDuplicates(["id"])
     )
-    nothing = texts.where(F.col("id").isNull()).select("id", "text", F.lit("").alias("beginning"), sketch(F.lit(""), cover=True).alias("next"))
+    nothing = texts.where(F.col("id").isNull()).select("id", "text", F.lit("").alias("following"))
     both = known.join(following, "id").unionByName(nothing)
     n = F.length("text")
     changed = F.floor(n / 3).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - changed), F.substring("beginning", F.lit(1), changed))
-    found = both.select("id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "next")
+    edited = F.concat(F.substring("text", F.lit(1), n - changed), F.substring("following", F.lit(1), changed))
+    found = both.select("id", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "following")
     found = found.select(
         "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        sketch("text", cover=True).alias("own"), sketch("edited", cover=True).alias("other"), "next",
+        sketch("text", cover=True).alias("own"), sketch("edited", cover=True).alias("other"),
+        sketch("following", cover=True).alias("next"),
     )
     return found.select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256",
