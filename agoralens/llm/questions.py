@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agoralens.llm import language, minhash, mixing, personal_data, piece_codec, quality, spots, substrings, url_filter, word_model
+from agoralens.llm import credentials, language, minhash, mixing, personal_data, piece_codec, prefix_trie, quality, spots, substrings, url_filter, word_model
 from agoralens.operators.lookups import lookup_join
 
 Question = Callable[[SparkSession, str], DataFrame]
@@ -228,3 +228,121 @@ SELECT doc_id, source, size, source_size, target,
 FROM run""")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+# ---- 11: secrets -------------------------------------------------------------------------------
+
+
+def _secrets_sql() -> str:
+    """Parts by splitting at each pattern, nearest parts of every role by windows over one text."""
+
+    def quoted(pattern: str) -> str:
+        return pattern.replace("'", "''")
+
+    def places(name: str, pattern: str) -> str:
+        return f"""{name} AS (
+  SELECT r, value, last - length(value) AS s, last AS e FROM (
+    SELECT r, value, sum(length(gap) + coalesce(length(value), 0)) OVER (PARTITION BY r ORDER BY i)::BIGINT AS last FROM (
+      SELECT r, unnest(string_split_regex(t, '{quoted(pattern)}')) AS gap, unnest(regexp_extract_all(t, '{quoted(pattern)}')) AS value,
+        unnest(range(len(string_split_regex(t, '{quoted(pattern)}')))) AS i
+      FROM docs WHERE regexp_matches(t, '{quoted(pattern)}'))) WHERE value IS NOT NULL)"""
+
+    extra = {
+        "assign": f" WHERE length(regexp_replace(value, '{quoted(credentials._VALUE)}', '')) >= 12",
+        "blob": " WHERE regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[0-9]')",
+    }
+    base = ", ".join(f"'{k}'" for k in credentials.BASE)
+    found = ",\n".join(places(f"f_{k}", pattern) for k, (pattern, _) in credentials.PARTS.items())
+    parts = " UNION ALL ".join(
+        f"SELECT r, s, e, {i} AS place, '{k}' AS kind, '{role}' AS role FROM f_{k}{extra.get(k, '')}"
+        for i, (k, (_, role)) in enumerate(credentials.PARTS.items())
+    )
+    near = ", ".join(
+        f"max(e) FILTER (role = '{r}') OVER ahead AS before_{r}, min(s) FILTER (role = '{r}') OVER back AS behind_{r}" for r in credentials.ROLES
+    )
+    completed = " OR ".join(
+        f"(role = '{role}' AND ("
+        + " OR ".join(
+            f"coalesce(before_{r} >= coalesce(scope, 0) AND s - before_{r} <= {credentials.REACH}, false)"
+            f" OR coalesce((scope_end IS NULL OR behind_{r} < scope_end) AND behind_{r} - e <= {credentials.REACH}, false)"
+            for r in needed
+        )
+        + "))"
+        for role, needed in credentials.COMPLETED_BY.items()
+    )
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in credentials.BASE)
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+{found},
+{places("f_edge", credentials.EMPTY_LINE)},
+parts AS (SELECT * FROM ({parts}) UNION ALL SELECT r, s, e, -1, 'edge', 'edge' FROM f_edge),
+swept AS (
+  SELECT *, {near},
+    max(e) FILTER (kind = 'edge') OVER ahead AS scope, min(s) FILTER (kind = 'edge') OVER back AS scope_end,
+    max(e) FILTER (kind IN ({base})) OVER ahead AS base_end, min(s) FILTER (kind IN ({base})) OVER back AS base_start
+  FROM parts
+  WINDOW ahead AS (PARTITION BY r ORDER BY s, place, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    back AS (PARTITION BY r ORDER BY s, place, e ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+told AS (
+  SELECT r, s, e, place, kind, kind || ':' || s || ':' || e AS span FROM swept
+  WHERE kind IN ({base}) OR (kind <> 'edge' AND ({completed})
+    AND (role = 'endpoint' OR NOT (coalesce(base_end > s, false) OR coalesce(base_start < e, false))))),
+summed AS (
+  SELECT r, {counts}, string_agg(span, ',' ORDER BY s, place) FILTER (kind IN ({base})) AS base, string_agg(span, ',' ORDER BY s, place) AS spans
+  FROM told GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in credentials.BASE)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN summed USING (r)"""
+
+
+@question(_secrets_sql())
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.digest(credentials.find_secrets(table(spark, sf_dir, "documents")))
+
+
+# ---- 12: conversation prefix trie --------------------------------------------------------------
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of a string's UTF-8 bytes (code points up to U+07FF). Needs `crc_table`, a table
+    of one row with the 256 remainders `t`."""
+    wide = "CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END"
+    bytes_of = f"flatten(list_transform(string_split({text}, ''), lambda c: {wide}))::BIGINT[]"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_of}),"
+        " lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+    )
+
+
+CRC_TABLE = """crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(i)))"""
+
+
+@question(f"""
+WITH {CRC_TABLE},
+turns AS (
+  SELECT conv_id, list(v ORDER BY turn NULLS FIRST, m) AS own FROM (
+    SELECT conv_id, turn, struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) AS v,
+      md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS m
+    FROM conversations WHERE conv_id IS NOT NULL) GROUP BY 1),
+lent AS (SELECT a.conv_id, a.own, coalesce(b.own, []) AS base, {crc32_sql("a.conv_id::VARCHAR")} % 6 AS h
+  FROM turns a CROSS JOIN crc_table LEFT JOIN turns b ON b.conv_id = a.conv_id - a.conv_id % 100),
+paths AS (SELECT conv_id, base[1:h] || own[h + 1:] AS path FROM lent),
+steps AS (SELECT conv_id, len(path) AS n, d, path[1:d] AS key, path[d].text AS last
+  FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM paths)),
+nodes AS (
+  SELECT d, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(length(last)) AS chars, max(n) > d AS inner_node,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d) AS ends
+  FROM steps GROUP BY d, key),
+below AS (
+  SELECT s.d, s.key, count(*) FILTER (NOT w.inner_node) AS n_leaves, sum((w.n_convs - 1) * coalesce(w.chars, 0)) AS saved
+  FROM nodes w JOIN steps s ON s.conv_id = w.conv_id AND s.d <= w.d GROUP BY 1, 2),
+children AS (SELECT d - 1 AS d, key[1:d - 1] AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2)
+SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(c.n, 0)::BIGINT AS n_children,
+  b.n_leaves, b.saved::BIGINT AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM nodes v LEFT JOIN nodes p ON p.d = v.d - 1 AND p.key = v.key[1:v.d - 1]
+LEFT JOIN children c ON c.d = v.d AND c.key = v.key JOIN below b ON b.d = v.d AND b.key = v.key""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
