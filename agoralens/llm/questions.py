@@ -9,7 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from agoralens.llm import credentials, language, minhash, mixing, personal_data, piece_codec, prefix_trie, quality, spots, substrings, url_filter, word_model
+from agoralens.llm import credentials, language, minhash, mixing, personal_data, piece_codec, prefix_trie, quality, spelling, spots, substrings, url_filter, word_model
 from agoralens.operators.lookups import lookup_join
 
 Question = Callable[[SparkSession, str], DataFrame]
@@ -346,3 +346,38 @@ FROM nodes v LEFT JOIN nodes p ON p.d = v.d - 1 AND p.key = v.key[1:v.d - 1]
 LEFT JOIN children c ON c.d = v.d AND c.key = v.key JOIN below b ON b.d = v.d AND b.key = v.key""")
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+# ---- 13: spelling variants ---------------------------------------------------------------------
+
+
+@question(f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT id, run, count(*) AS times FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id,
+      unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents) GROUP BY 1, 2),
+hashed AS (SELECT run, times, {crc32_sql("id || ':' || run")} AS h FROM runs, crc_table),
+written AS (
+  SELECT times, CASE WHEN h % 97 = 0 THEN substring(run, 1, (h % length(run))::INT) || substring(run, (h % length(run))::INT + 2) ELSE run END AS word
+  FROM hashed),
+words AS (SELECT word, sum(times)::BIGINT AS n FROM written WHERE length(word) >= 5 GROUP BY 1 HAVING sum(times) >= 3),
+shorter AS (
+  SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest
+  FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM shorter a JOIN words b ON b.word = a.rest
+  UNION SELECT b.word, b.n, a.word, a.n FROM shorter a JOIN words b ON b.word = a.rest),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM pairs GROUP BY 1),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form,
+    CASE WHEN other_n >= 2 * w.n THEN other_n END::BIGINT AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+ways AS (SELECT word, word AS root FROM formed UNION ALL SELECT y.word, f.form FROM ways y JOIN formed f ON f.word = y.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, y.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN ways y USING (word) JOIN formed e ON e.word = y.root AND e.form IS NULL""")
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
