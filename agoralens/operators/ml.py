@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
@@ -16,7 +16,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agoralens.functions.keys import md5_bucket
@@ -24,6 +24,7 @@ from agoralens.functions.numbers import ratio
 from agoralens.operators.features import COMMENT_FEATURES, COMMENT_ROW_FEATURES, POST_FEATURES
 from agoralens.operators.ordering import quantile_value, running_totals
 from agoralens.operators.split import FINE, assign_fold
+from agoralens.sources.scratch import stored
 
 LABEL = "label"
 WEIGHT = "weight"
@@ -155,19 +156,36 @@ def cross_validate(
     key: str,
     reg_params: Sequence[float] = (0.01, 0.1),
     folds: int = 3,
-    parallelism: int = 2,
 ) -> PipelineModel:
-    """Best model by area under ROC over a grid of regularisation strengths, folds by key."""
-    regression = pipeline.getStages()[-1]
-    validator = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=ParamGridBuilder().addGrid(regression.regParam, list(reg_params)).build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC"),
-        numFolds=folds,
-        parallelism=parallelism,
-        foldCol="fold",
-    )
-    return validator.fit(assign_fold(train, key, folds)).bestModel
+    """Best model by area under ROC over a grid of regularisation strengths, folds by key.
+
+    Tokens are made once. Vocabulary and scaler are fitted once per fold, on its training rows only, and
+    the fold's vectors are stored, so that only the regression is fitted once per fold and strength.
+    """
+    *stages, regression = pipeline.getStages()
+    first = next((n for n, stage in enumerate(stages) if not isinstance(stage, Transformer)), len(stages))
+    tokens, fitted = stages[:first], stages[first:]
+    rows = stored(PipelineModel(tokens).transform(assign_fold(train, key, folds)), "tokens")
+    features, weight = regression.getFeaturesCol(), regression.getWeightCol() if regression.isDefined(regression.weightCol) else None
+    columns = [regression.getLabelCol(), *([weight] if weight else []), features]
+    grid = ParamGridBuilder().addGrid(regression.regParam, list(reg_params)).build()
+    evaluator = BinaryClassificationEvaluator(labelCol=regression.getLabelCol(), metricName="areaUnderROC")
+
+    def vectors(model: PipelineModel, part: DataFrame) -> DataFrame:
+        return stored(model.transform(part).select(*columns, "fold"), "vectors")
+
+    areas = [0.0] * len(grid)
+    for fold in range(folds):
+        inside = rows.where(F.col("fold") != fold)
+        made = vectors(Pipeline(stages=fitted).fit(inside), rows)
+        learned = dict(regression.fitMultiple(made.where(F.col("fold") != fold), grid))
+        held = made.where(F.col("fold") == fold)
+        for n, model in learned.items():
+            areas[n] += evaluator.evaluate(model.transform(held))
+    best = max(range(len(grid)), key=lambda n: (areas[n], -n))
+    whole = Pipeline(stages=fitted).fit(rows)
+    model = regression.fit(vectors(whole, rows), grid[best])
+    return PipelineModel([*tokens, *whole.stages, model])
 
 
 def score(model: Model, df: DataFrame, name: str = "probability_positive") -> DataFrame:

@@ -56,10 +56,46 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def clear(spark: SparkSession) -> None:
-    """Delete what this process has stored. Call it when the results that read it are written."""
+def drop(spark: SparkSession, folders: list[str]) -> None:
+    """Delete stored tables that nothing will read again."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
+        if folder in _made:
+            _made.remove(folder)
+
+
+class Scratch:
+    """Tables of one operator that are deleted together, but for those it still needs."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.tables: list[tuple[str, DataFrame]] = []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        folder = new_folder(self.spark, name)
+        df.write.parquet(folder)
+        self.tables.append((folder, self.spark.read.schema(df.schema).parquet(folder)))
+        return self.tables[-1][1]
+
+    def drop(self, *but: DataFrame) -> None:
+        """Delete all tables so far but those given, as `stored` returned them."""
+        gone = [folder for folder, df in self.tables if not any(df is kept for kept in but)]
+        drop(self.spark, gone)
+        self.tables = [(folder, df) for folder, df in self.tables if folder not in gone]
+
+
+def made_since(start: int) -> list[str]:
+    """Folders that this process has made after the first `start` ones (see `made_so_far`)."""
+    return _made[start:]
+
+
+def made_so_far() -> int:
+    return len(_made)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this process has stored. Call it when the results that read it are written."""
+    drop(spark, list(_made))
