@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from agoralens.sources.scratch import new_folder
+from agoralens.sources.scratch import Scratch
 
 
 def _forest(edges: DataFrame) -> DataFrame:
@@ -40,28 +40,25 @@ def components(edges: DataFrame) -> DataFrame:
     Rounds of large and small stars (every node's larger neighbours, then it and its smaller ones,
     are linked to its smallest neighbour) until nothing changes; a path of n nodes takes some
     log(n) rounds. Nodes must be of one orderable type without NULL. Each round aggregates by node
-    and joins the smallest neighbour back, so a node with any number of edges is never one group;
-    it is stored in the shared folder.
+    and joins the stored smallest neighbours back, so a node with any number of edges is never one
+    group and its join can be split. Rounds are stored in the shared folder; older ones are deleted.
     """
-    spark = edges.sparkSession
-
-    def stored(df: DataFrame) -> DataFrame:
-        folder = new_folder(spark, "edges")
-        df.write.parquet(folder)
-        return spark.read.parquet(folder)
+    tables = Scratch(edges.sparkSession)
 
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    now = stored(_forest(edges.select("a", "b").where("a != b")))
+    now = tables.stored(_forest(edges.select("a", "b").where("a != b")), "edges")
     before = None
     while before != (before := mark(now)):
         both = now.union(now.select("b", "a"))
         lowest = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        lowest = tables.stored(lowest, "lowest")
         large = both.join(lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        large = stored(large)
-        lowest = large.groupBy("a").agg(F.min("b").alias("low"))
+        large = tables.stored(large, "edges")
+        lowest = tables.stored(large.groupBy("a").agg(F.min("b").alias("low")), "lowest")
         linked = large.join(lowest, "a").where("b != low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        now = stored(linked.union(lowest.select("a", F.col("low").alias("b"))).distinct())
+        now = tables.stored(linked.union(lowest.select("a", F.col("low").alias("b"))).distinct(), "edges")
+        tables.drop(now)
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
