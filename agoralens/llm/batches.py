@@ -6,12 +6,13 @@ platform's idea of white space. Word hashes are 64-bit polynomial hashes of the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame, types as T
 
 CHUNK_BYTES = 1 << 20
 #: Rows of a column that are copied at a time.
@@ -138,6 +139,14 @@ def windows(hashes: np.ndarray, size: int, seed: int = 7) -> np.ndarray:
     return mix(total)
 
 
+def map_rows(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """`mapInArrow` over whole rows, whose columns may have any names: `run` gets and gives columns in
+    the order of `docs`, under other names."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    schema = T.StructType([T.StructField(name, f.dataType) for name, f in zip(names, docs.schema.fields)])
+    return docs.toDF(*names).mapInArrow(run, schema).toDF(*docs.columns)
+
+
 def string_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 

@@ -4,6 +4,10 @@ The kernel of two texts is the blended spectrum: for n = 1 to 3, the number of c
 present in both, divided by the geometric mean of how many each has; the three are averaged. Each
 text is described by its kernel values with a few hundred landmark texts (Nyström); one ridge
 regression per language on those features gives the scores. All fitting is on a bounded sample.
+
+Scores only tell learned languages apart: a text in another one is nearer to some of them than to the
+rest. What gives it away are its 3-grams that no landmark has, so a text is taken for one of a learned
+language if its share of known 3-grams could be as large as that of nearly all learned texts.
 Characters are folded to 64 symbols by a fixed rule: a-z, 37 classes of other letters, one for all
 else.
 """
@@ -18,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from agoralens.llm.batches import chunks, string_column
+from agoralens.llm.batches import chunks, map_rows, string_column
 
 SYMBOLS = 64
 GRAMS = (SYMBOLS, SYMBOLS**2, SYMBOLS**3)
@@ -66,6 +70,19 @@ class Model(NamedTuple):
     columns: list[np.ndarray]
     present: list[np.ndarray]
     weights: np.ndarray
+    lowest: float = 0.0
+
+    def known(self, own: list[np.ndarray]) -> tuple[int, int]:
+        """How many of a text's 3-grams some landmark has, and how many it has."""
+        return int((self.columns[2][own[2]] >= 0).sum()), len(own[2])
+
+    def learned(self, own: list[np.ndarray]) -> bool:
+        """Whether a text with these grams may be in a learned language: it has a letter, and the upper
+        end of the (Wilson) interval of its share of known 3-grams reaches `lowest`."""
+        if not len(own[0]) or not self.languages:
+            return False
+        known, n = self.known(own)
+        return upper_share(known, n) >= self.lowest
 
     def scores(self, texts: list[list[np.ndarray]]) -> np.ndarray:
         """One score per text and language, by one matrix product per gram length."""
@@ -80,6 +97,21 @@ class Model(NamedTuple):
         return (kernel / 3) @ self.weights
 
 
+#: Standard errors that a text's share of known 3-grams may lie below the bound by chance.
+SLACK = 2.5
+#: The bound: this quantile of the shares of learned texts that are no landmarks, less the margin and,
+#: as a quantile of few texts says little, less 1 / the root of their number.
+QUANTILE, MARGIN = 0.001, 0.02
+
+
+def upper_share(known: int, n: int) -> float:
+    """The upper end of the Wilson interval of known / n at `SLACK` standard errors; 1 for n = 0."""
+    if n == 0:
+        return 1.0
+    p, z = known / n, SLACK
+    return (p + z * z / (2 * n) + z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
 def fit(samples: list[tuple[str, list[np.ndarray]]], landmarks: int = 160, ridge: float = 1e-3) -> Model:
     """`samples`: language and grams of each text. Landmarks are spread evenly over languages."""
     languages = sorted({lang for lang, _ in samples})
@@ -110,11 +142,14 @@ def fit(samples: list[tuple[str, list[np.ndarray]]], landmarks: int = 160, ridge
     # Every language weighs the same, however many of the sample's texts are in it.
     weight = 1 / np.maximum(1, y.sum(axis=0))[y.argmax(axis=1)]
     solved = np.linalg.solve(z.T @ (z * weight[:, None]) + ridge * np.eye(z.shape[1]), z.T @ (y * weight[:, None]))
-    return model._replace(weights=(root @ solved).astype(np.float32))
+    others = [g for lang in languages for g in by_language[lang][each:]]
+    shares = [model.known(g)[0] / max(1, len(g[2])) for g in others]
+    lowest = max(0.0, float(np.quantile(shares, QUANTILE)) - MARGIN - len(shares) ** -0.5) if shares else 0.0
+    return model._replace(weights=(root @ solved).astype(np.float32), lowest=lowest)
 
 
-def _grams_of(batch: pa.RecordBatch, text_col: str) -> Iterator[list[np.ndarray]]:
-    for chunk in chunks(string_column(batch, text_col)):
+def _grams_of(texts: pa.Array) -> Iterator[list[np.ndarray]]:
+    for chunk in chunks(texts):
         for r in range(len(chunk.offsets) - 1):
             yield grams(chunk.data[chunk.offsets[r] : chunk.offsets[r + 1]].tobytes().decode())
 
@@ -123,31 +158,42 @@ def train(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     per_language: int = 600, most: int = 6_000, landmarks: int = 160,
 ) -> Model:
-    """Learn from about `per_language` labelled texts of each language, `most` at the very most.
+    """Learn from about `per_language` labelled texts of each language, `most` or so in all.
 
-    The sample goes by a hash of the id: of a language with n labelled rows each is taken with
-    probability per_language / n. Rows without a language or text are left out; whole texts are
-    used. What reaches the driver are the sampled texts' grams.
+    The sample goes by a hash of id and text: of a language with n labelled rows each is taken with a
+    probability that gives every language its share of `most`, and some more, of which those with the
+    smallest hashes are kept. Every language that occurs is learned; more than `most` of them are refused,
+    as a model of them would not be of bounded size. Rows without a language or text are left out, rows
+    that repeat count once, whole texts are used. What reaches the driver are the sampled texts' grams.
     """
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = labelled.groupBy(lang_col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang_col).limit(most // 10).collect()
+    sizes = labelled.groupBy(lang_col).agg(F.count("*").alias("n")).limit(most + 1).collect()
+    if len(sizes) > most:
+        raise ValueError(f"more than {most} languages: raise `most`, or group the rare ones")
     if not sizes:
         return fit([])
-    take = min(per_language, most // len(sizes))
-    share = F.create_map(*[F.lit(v) for row in sizes for v in (row[lang_col], min(1.0, take / row["n"]))])
-    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = labelled.where(draw < F.element_at(share, F.col(lang_col))).select(id_col, F.col(lang_col).alias("lang"), text_col)
+    take = max(1, min(per_language, most // len(sizes)))
+    wanted = take + 4 * take**0.5 + 4
+    share = F.create_map(*[F.lit(v) for row in sizes for v in (row[lang_col], min(1.0, wanted / row["n"]))])
+    draw = F.xxhash64(F.col(id_col), F.col(text_col), F.lit("sample"))
+    unit = F.pmod(draw, F.lit(1 << 30)) / F.lit(float(1 << 30))
+    picked = labelled.where(unit < F.element_at(share, F.col(lang_col)))
+    picked = picked.select(draw.alias("draw"), F.col(lang_col).alias("lang"), text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[g.astype(np.int32).tobytes() for g in own] for own in _grams_of(batch, text_col)]
+            found = [[g.astype(np.int32).tobytes() for g in own] for own in _grams_of(string_column(batch, text_col))]
             columns = [pa.array([own[k] for own in found], pa.binary()) for k in range(3)]
-            order = batch.column(0).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([order, batch.column(1), *columns], names=["id", "lang", "g1", "g2", "g3"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["draw", "lang", "g1", "g2", "g3"])
 
-    rows = picked.mapInArrow(run, "id string, lang string, g1 binary, g2 binary, g3 binary").limit(2 * most).collect()
-    rows.sort(key=lambda r: (r["lang"], r["id"] or ""))
-    return fit([(r["lang"], [np.frombuffer(r[g], np.int32).astype(np.int64) for g in ("g1", "g2", "g3")]) for r in rows], landmarks)
+    rows = picked.mapInArrow(run, "draw long, lang string, g1 binary, g2 binary, g3 binary").dropDuplicates(["draw", "lang"]).collect()
+    rows.sort(key=lambda r: (r["lang"], r["draw"] % (1 << 30), r["draw"]))
+    kept, taken = [], dict.fromkeys((row[lang_col] for row in sizes), 0)
+    for r in rows:
+        taken[r["lang"]] += 1
+        if taken[r["lang"]] <= take:
+            kept.append((r["lang"], [np.frombuffer(r[g], np.int32).astype(np.int64) for g in ("g1", "g2", "g3")]))
+    return fit(kept, landmarks)
 
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -171,7 +217,7 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
                     scores.append(float(min(1.0, max(0.0, v[best]))) if best >= 0 else 0.0)
                 block.clear()
 
-            for own in _grams_of(batch, text_col):
+            for own in _grams_of(string_column(batch, text_col)):
                 block.append(own)
                 if len(block) == BLOCK:
                     finish()
@@ -184,6 +230,19 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
 
 
+def only_learned(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose text may be in a learned language, row by row and with all columns. Texts
+    that are NULL or have no letter go, and all if nothing was learned."""
+
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([model.learned(own) for own in _grams_of(batch.column(at))], pa.bool_()))
+
+    return map_rows(docs, run)
+
+
 def held_out(id_col: str | Column) -> Column:
     """Rows never learned from: crc32 of the id as text leaves 2 when divided by 4."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -131,7 +131,7 @@ def copies(mixed: DataFrame, text_col: str = "text", count_col: str | None = "n_
     cut = F.array_join(F.slice(split, F.lit(1), F.col("_first").cast("int")), " ")
     fields = []
     for name in mixed.schema["row"].dataType.names:
-        column = F.col("row")[name]
+        column = F.col("row").getField(name)
         if name == text_col:
             column = F.when(F.col("_first") > 0, cut).otherwise(column)
         elif name == count_col:

@@ -17,7 +17,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from agoralens.llm.batches import string_column
+from agoralens.llm.batches import map_rows, string_column
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn", "account", "key", "url")
@@ -147,14 +147,14 @@ def masked(text: str) -> str:
 
 def redact(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """`docs` with personal data in `text_col` replaced by `<EMAIL>` and the like; NULL stays."""
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(text_col)
             new = [None if (s := t.as_py()) is None else masked(s) for t in batch.column(at)]
-            yield batch.set_column(at, text_col, pa.array(new, batch.schema.field(at).type))
+            yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)
 
 
 def digest(spans: DataFrame, id_col: str = "doc_id") -> DataFrame:
