@@ -163,7 +163,7 @@ def fingerprint_and_edited(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     following = (
         known.join(links, "id")
         # No equality of two columns, which would become a second join key and a second shuffle.
-        .where(F.xxhash64("text") - F.col("hash") == 0)
+        .where(F.xxhash64("text").bitwiseXOR(F.col("hash")) == 0)
         .select(F.col("owner").alias("id"), F.col("text").alias("following"))
         .dropDuplicates(["id"])
     )

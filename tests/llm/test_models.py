@@ -1,4 +1,4 @@
-"""Character models, language and quality."""
+"""Word models, language and quality."""
 
 import math
 from collections import Counter
@@ -7,53 +7,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from agoralens.llm import char_model, language, quality, questions, word_model
+from agoralens.llm import language, quality, questions, word_model
 
 SF = "/root/testdata/sf0.01"
 
 
-def test_losses_like_brute_force(spark):
-    rows = [(1, "Abba, abé 12!", True), (2, "zzz abab", False), (3, None, True), (4, "", None), (5, "日本 ab", None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, good boolean").withColumn("cell", F.lit(1))
-    table = char_model.symbols()
-    counts = {True: Counter(), False: Counter()}
-    streams = {}
-    for i, text, good in rows:
-        s = [0, 0, 0] + [int(table[ord(c)]) for c in text or ""]
-        streams[i] = [tuple(s[k - 3 : k + 1]) for k in range(3, len(s))]
-        counts[False].update(streams[i])
-        if good:
-            counts[True].update(streams[i])
-
-    def loss(target, gram):
-        c, p = counts[target], (1 - sum(char_model.WEIGHTS)) / 32
-        for k, weight in enumerate(char_model.WEIGHTS):
-            top = sum(n for g, n in c.items() if g[k:] == gram[k:])
-            below = sum(n for g, n in c.items() if g[k:3] == gram[k:3])
-            p += weight * (top / below if below else 1 / 32)
-        return -math.log(p)
-
-    found = {r.doc_id: r for r in char_model.score(df, char_model.count(df, "good")).collect()}
-    for i, grams in streams.items():
-        assert found[i].n_tokens == len(grams)
-        if grams:
-            assert found[i].target_loss == pytest.approx(np.mean([loss(True, g) for g in grams]), rel=1e-5)
-            assert found[i].background_loss == pytest.approx(np.mean([loss(False, g) for g in grams]), rel=1e-5)
-        else:
-            assert found[i].difference is None
-    assert char_model.count(df.limit(0), "good").count() == 0
-
-
-def test_scores_separate_bad_texts(spark, awkward):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
-    good = labels.where("quality = 1").select("doc_id", F.lit(True).alias("good"))
-    scored = char_model.score(docs, char_model.count(docs.join(good, "doc_id", "left"), "good")).join(labels, "doc_id")
-    means = {r.quality: r.m for r in scored.groupBy("quality").agg(F.avg("difference").alias("m")).collect()}
-    assert means[0] > means[1] + 0.3
-    assert char_model.score(awkward, char_model.count(awkward.withColumn("good", F.lit(None).cast("boolean")), "good")).count() == awkward.count()
-
-
 @pytest.mark.parametrize("frequent", [0, 3, 1_000])
 def test_word_losses_like_brute_force(spark, frequent):
     rows = [(1, "the cat saw The cat", True), (1, "кот видел кота", None), (3, None, True), (None, " \n", None), (5, "日本 the cat saw", False), (5, "the dog saw the cat the cat", True)]

@@ -99,6 +99,21 @@ def test_fingerprints_cover_texts_without_anchors(spark):
         assert {int(r.fingerprint.split(":")[0]) for r in found} == {len(bare) - 1 + len(start) - (1 if start else 0)}
 
 
+def test_ids_with_several_texts(spark):
+    """Hashes of any distance: of several rows with the next id one and the same text follows."""
+    texts = [f"the text number {k} of an id and the next" for k in range(60)]
+    df = spark.createDataFrame([(k % 5, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    rows = spots.fingerprint_and_edited(df).collect()
+    assert len(rows) == 60
+    follows = {}
+    for r, t in ((r, t) for r in rows for t in texts if len(t) == r.n_chars):
+        cut = len(t) // 3
+        for other in texts:
+            if hashlib.sha256((t[: len(t) - cut] + other[:cut]).encode()).hexdigest() == r.edited_sha256:
+                follows.setdefault(r.doc_id, set()).add(other[:cut])
+    assert set(follows) == set(range(5))
+
+
 def test_single_row_is_its_own_next(spark):
     df = spark.createDataFrame([(5, "the one text of a table is its own next")], "doc_id long, text string")
     r = spots.fingerprint_and_edited(df).first()
