@@ -33,6 +33,7 @@ def load_all() -> None:
         graphs,
         models,
         overview,
+        sketches,
         streams,
         texts,
         topic_models,
