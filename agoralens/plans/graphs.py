@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agoralens.functions.keys import strip_kind
-from agoralens.operators import graph, vectorized
+from agoralens.operators import graph, replies, vectorized
 from agoralens.plans import roles
 from agoralens.plans.overview import settled
 from agoralens.plans.registry import question
@@ -68,6 +68,35 @@ def thread_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.reach(edges, replies.where(~F.col("parent_id").startswith("t1_")).select(F.col("id").alias("node")))
 
 
+_ABOVE = """
+WITH RECURSIVE said AS (
+  SELECT conv_id || '_' || turn AS id, conv_id || '_' || (turn - 1) AS up, length(text) AS length FROM conversations),
+above AS (
+  SELECT id, id AS top, 0 AS steps FROM said
+  UNION ALL SELECT a.id, s.up, steps + 1 FROM above a JOIN said s ON s.id = a.top JOIN said p ON p.id = s.up)"""
+
+
+def _reply_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = roles.comment_texts(spark, sf_dir)
+    return replies.reply_index(texts.select("id", "parent_id", F.length("body").alias("length")), ["length"])
+
+
+@question(f"""{_ABOVE},
+tops AS (SELECT id, arg_max(top, steps) AS root, max(steps) + 1 AS depth FROM above GROUP BY 1),
+inside AS (SELECT top AS id, count(*) AS size, sum(length) AS total_length FROM above a JOIN said s ON s.id = a.id GROUP BY 1)
+SELECT id, root, depth::BIGINT AS depth, size, total_length::BIGINT AS total_length FROM tops JOIN inside USING (id)""")
+def reply_subtrees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every comment with its topmost one, depth, and the number and length of the comments below it."""
+    return _reply_index(spark, sf_dir).select("id", "root", "depth", "size", "total_length")
+
+
+@question(f"{_ABOVE} SELECT top AS seed, id FROM above WHERE top LIKE '%\\_2' ESCAPE '\\' AND steps > 0")
+def replies_below(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All comments below the third one of each thread, by a range join on the index."""
+    index = _reply_index(spark, sf_dir)
+    return replies.below(index, index.where("depth = 3").select("id"))
+
+
 @question("""
 SELECT event_id, round(value - avg(value) OVER (PARTITION BY user_id) + 1e-9, 6) AS value FROM events""")
 def demeaned_values(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from agoralens.functions.stemming import (
     stem_tokens,
 )
 from agoralens.functions.text import json_safe, joined_tokens, strip_markup, tokenize
-from agoralens.operators import clean, emotion, engagement, language, stats, temporal
+from agoralens.operators import clean, emotion, engagement, heavy, language, stats, temporal
 from agoralens.operators.emotion import EMOTIONS
 from agoralens.operators.lookups import lookup_join
 from agoralens.plans import roles
@@ -492,3 +492,10 @@ def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 @question(_top_sql(20))
 def top_words_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.top_words(_word_counts(spark, sf_dir), 20)
+
+
+@question(_top_sql(50))
+def top_words_by_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, counting only words that can be among the 50: no vocabulary is shuffled."""
+    halves = stored(_engaged(spark, sf_dir), "halves")
+    return heavy.most_frequent(lookup_join(_docs(spark, sf_dir), halves, ["id"]), 50)
