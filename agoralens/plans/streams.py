@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agoralens.plans import roles
 from agoralens.plans.registry import question
+from agoralens.sources.scratch import new_folder
 from agoralens.sources.tables import read_table_stream
-from agoralens.streaming import counts, stateful
-from agoralens.streaming.run import latest, to_table
+from agoralens.streaming import counts, stateful, timers, upsert
+from agoralens.streaming.run import append_to_table, latest, to_table
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,3 +103,58 @@ def stream_stateful_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_events",
     )
     return _zoneless(found, "session_start", "last_event")
+
+
+def _in_files(spark: SparkSession, sf_dir: str, files: int = 6) -> DataFrame:
+    """The events as a stream of several files, each a batch of its own, in the order of time."""
+    events = roles.table(spark, sf_dir, "events")
+    folder = new_folder(spark, "events")
+    events.repartitionByRange(files, "ts").write.parquet(folder)
+    return read_table_stream(spark, folder, events.schema, maxFilesPerTrigger="1")
+
+
+@question(f"""{_SESSIONS}
+SELECT user_id::varchar AS key, first_ts AS session_start, last_ts AS last_event, n_events FROM sessions""")
+def stream_timed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed sessions as given out by timers, and those still open, read from the state. No rows are
+    late, however the files are ordered: the delay is longer than the input."""
+    folder = new_folder(spark, "timed")
+    path, checkpoint = f"{folder}/table", f"{folder}/checkpoint"
+    with timers.rocks_state(spark):
+        stream = timers.timed_sessions(_in_files(spark, sf_dir), "ts", "user_id", 1_800, delay="60 days")
+        append_to_table(stream, path, checkpoint)
+    closed = spark.read.schema(timers.CLOSED).parquet(path)
+    found = closed.unionByName(timers.open_sessions(spark, checkpoint)).select(
+        "key", F.timestamp_micros("first_us").alias("session_start"), F.timestamp_micros("last_us").alias("last_event"), "n_events"
+    )
+    return _zoneless(found, "session_start", "last_event")
+
+
+@question("""
+SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
+def stream_restarted_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts in a keyed table, by a stream that is stopped after two batches and restarted from
+    its checkpoint."""
+    folder = new_folder(spark, "restarted")
+    table = upsert.KeyedTable(spark, f"{folder}/table", ["user_id", "event_type"], compact_every=3)
+    rows = _in_files(spark, sf_dir)
+
+    def counted() -> DataFrame:
+        return rows.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+
+    upsert.upsert(counted(), table, f"{folder}/checkpoint", stop_before=2)
+    upsert.upsert(counted(), table, f"{folder}/checkpoint")
+    return table.rows()
+
+
+@question("""
+SELECT event_type, count(*) AS n, true AS whole FROM events GROUP BY 1""")
+def stream_kept_and_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What came in time and what came late are together what came; `whole` if the counts per batch say
+    so too."""
+    folder = new_folder(spark, "late")
+    upsert.split_late(_in_files(spark, sf_dir), "ts", f"{folder}/rows", f"{folder}/checkpoint")
+    kept, late, seen = (upsert.late_rows(spark, f"{folder}/rows", which) for which in ("kept", "late", "seen"))
+    sums = seen.agg(F.sum("n"), F.sum("n_late")).first()
+    whole = tuple(sums) == (kept.count() + late.count(), late.count())
+    return kept.unionByName(late).groupBy("event_type").agg(F.count("*").alias("n")).withColumn("whole", F.lit(whole))
