@@ -34,6 +34,7 @@ def load_all() -> None:
         models,
         overview,
         sketches,
+        sources,
         streams,
         texts,
         topic_models,
