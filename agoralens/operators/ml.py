@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
+from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (
     CountVectorizer,
@@ -16,6 +17,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -188,6 +190,14 @@ def cross_validate(
     return PipelineModel([*tokens, *whole.stages, model])
 
 
+def known_logistic(spark: SparkSession, features: Sequence[str], coefficients: Sequence[float], intercept: float) -> PipelineModel:
+    """A logistic model of given coefficients, such as those of a report, to score or save."""
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    vector = _py2java(spark.sparkContext, Vectors.dense(list(coefficients)))
+    java = spark.sparkContext._jvm.org.apache.spark.ml.classification.LogisticRegressionModel("known", vector, float(intercept))
+    return PipelineModel([assembler, LogisticRegressionModel(java)])
+
+
 def score(model: Model, df: DataFrame, name: str = "probability_positive") -> DataFrame:
     """Apply a model and unpack the probability of the positive class."""
     return model.transform(df).withColumn(name, F.get(vector_to_array("probability"), F.lit(1)))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import LDA, LDAModel
+from pyspark.ml.clustering import LDA, LDAModel, LocalLDAModel
 from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agoralens.functions.text import TOKEN_JOINER, each_word
 from agoralens.operators.lookups import lookup_join
@@ -64,6 +65,27 @@ def fit_topics(
     return TopicModel(words, lda.fit(counts))
 
 
+def known_topics(
+    spark: SparkSession, vocabulary: Sequence[str], weights: Sequence[Sequence[float]], tokens: str = "tokens", priors: Sequence[float] | None = None
+) -> TopicModel:
+    """A model from a given topic matrix (one row of word weights per topic), such as one that was
+    fitted elsewhere or is kept as a table. Weights are positive and need not add up to 1; `priors` are
+    what each topic has before any word is read (default 0.1)."""
+    words = CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol=tokens, outputCol="counts")
+    sc, k = spark.sparkContext, len(weights)
+    jvm = sc._jvm.org.apache.spark
+    cells = sc._gateway.new_array(sc._jvm.double, k * len(vocabulary))
+    for at, value in enumerate(w for row in weights for w in row):
+        cells[at] = float(value)
+    matrix = jvm.mllib.linalg.Matrices.dense(len(vocabulary), k, cells)
+    before = sc._gateway.new_array(sc._jvm.double, k)
+    for at in range(k):
+        before[at] = 0.1 if priors is None else float(priors[at])
+    old = jvm.mllib.clustering.LocalLDAModel(matrix, jvm.mllib.linalg.Vectors.dense(before), 0.1, 100.0)
+    java = jvm.ml.clustering.LocalLDAModel(f"topics_{k}", len(vocabulary), old, spark._jsparkSession)
+    return TopicModel(words, LocalLDAModel(java).setFeaturesCol("counts"))
+
+
 def describe(model: TopicModel, n_words: int = 10) -> DataFrame:
     """(topic, rank, word, weight) of each topic's heaviest words, rank from 1."""
     topics = model.lda.describeTopics(n_words)

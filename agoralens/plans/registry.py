@@ -31,6 +31,7 @@ def load_all() -> None:
         defaults,
         forecasts,
         graphs,
+        known_models,
         models,
         overview,
         sketches,
