@@ -65,6 +65,16 @@ def fit_topics(
     return TopicModel(words, lda.fit(counts))
 
 
+def save_topics(model: TopicModel, path: str) -> None:
+    """Both parts under one folder, to be loaded by any later job."""
+    model.words.write().overwrite().save(f"{path}/words")
+    model.lda.write().overwrite().save(f"{path}/lda")
+
+
+def load_topics(path: str) -> TopicModel:
+    return TopicModel(CountVectorizerModel.load(f"{path}/words"), LocalLDAModel.load(f"{path}/lda"))
+
+
 def known_topics(
     spark: SparkSession, vocabulary: Sequence[str], weights: Sequence[Sequence[float]], tokens: str = "tokens", priors: Sequence[float] | None = None
 ) -> TopicModel:

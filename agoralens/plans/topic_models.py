@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agoralens.functions.text import joined_tokens, tokenize
@@ -9,7 +11,7 @@ from agoralens.operators import topics
 from agoralens.plans import roles
 from agoralens.plans.overview import settled
 from agoralens.plans.registry import question
-from agoralens.sources.scratch import stored
+from agoralens.sources.scratch import shared_folder, stored
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,35 +21,49 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(topics.word_tokens(joined))
 
 
+_fitted: dict[tuple[str, str], str] = {}
+
+
+def _model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> topics.TopicModel:
+    """The topics of all documents: fitted by the first question that asks, then loaded."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _fitted:
+        # Kept beside the tables of single questions, which are deleted after each.
+        folder = f"{shared_folder(spark).rstrip('/')}/topics-{uuid.uuid4().hex}"
+        topics.save_topics(topics.fit_topics(docs), folder)
+        _fitted[key] = folder
+    return topics.load_topics(_fitted[key])
+
+
 @question()
 def topic_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.describe(topics.fit_topics(_docs(spark, sf_dir)))
+    return topics.describe(_model(spark, sf_dir, _docs(spark, sf_dir)))
 
 
 @question()
 def topic_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
-    return topics.assign(topics.fit_topics(docs), docs).select("id", "top_topic", "top_share")
+    return topics.assign(_model(spark, sf_dir, docs), docs).select("id", "top_topic", "top_share")
 
 
 @question()
 def topic_prevalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
-    return topics.prevalence(topics.assign(topics.fit_topics(docs), docs))
+    return topics.prevalence(topics.assign(_model(spark, sf_dir, docs), docs))
 
 
 @question()
 def topic_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and a sample document per topic."""
     docs = _docs(spark, sf_dir)
-    model = topics.fit_topics(docs)
+    model = _model(spark, sf_dir, docs)
     samples = topics.samples(topics.assign(model, docs))
     return topics.summary_with_sample(topics.summary(topics.describe(model)), samples)
 
 
 @question()
 def topic_ranked_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    described = topics.describe(topics.fit_topics(_docs(spark, sf_dir)))
+    described = topics.describe(_model(spark, sf_dir, _docs(spark, sf_dir)))
     return topics.ranked_words(topics.summary(described))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from agoralens.functions.keys import is_direct_reply, md5_bucket, strip_kind
 from agoralens.functions.numbers import ratio, safe_corr
-from agoralens.operators import engagement, ordering, split, stats, temporal
+from agoralens.operators import engagement, ml, ordering, split, stats, temporal
 from tests.conftest import plan, rows
 
 
@@ -197,3 +197,29 @@ def test_year_filter_reaches_the_scan(spark, tmp_path):
     kept = temporal.in_year(spark.read.parquet(path), "t", 2021)
     assert kept.count() == 1
     assert "GreaterThanOrEqual(t," in plan(kept) and "LessThan(t," in plan(kept)
+
+
+def test_cross_validation_over_stored_vectors(spark):
+    """The chosen strength is the better one, and the model scores raw rows."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import RegexTokenizer, StandardScaler, VectorAssembler
+
+    draw = F.pmod(F.xxhash64("id"), F.lit(100))
+    df = spark.range(400).select("id", (draw / 100).alias("x"), (F.pmod(F.xxhash64("id", F.lit(2)), F.lit(100)) / 100).alias("noise"), F.lit("a b").alias("t"))
+    df = df.withColumn("label", (F.col("x") > 0.5).cast("double")).withColumn("weight", F.lit(1.0))
+    pipeline = Pipeline(stages=[
+        RegexTokenizer(inputCol="t", outputCol="words"),
+        VectorAssembler(inputCols=["x", "noise"], outputCol="raw"),
+        StandardScaler(inputCol="raw", outputCol="features"),
+        LogisticRegression(labelCol="label", weightCol="weight", elasticNetParam=1.0),
+    ])
+    model = ml.cross_validate(pipeline, df, "id", reg_params=(5.0, 0.01), folds=2)
+    assert model.stages[-1].getRegParam() == 0.01 and len(model.stages) == 4
+    assert ml.roc_auc(ml.score(model, df), "probability_positive").first().auc > 0.99
+
+
+def test_known_logistic(spark):
+    df = spark.createDataFrame([(1, 2.0, 1.0), (2, 0.0, 0.0)], "id int, a double, b double")
+    got = {r.id: r.probability_positive for r in ml.score(ml.known_logistic(spark, ["a", "b"], [1.0, -2.0], 0.5), df).collect()}
+    assert got[1] == pytest.approx(1 / (1 + 2.718281828 ** -0.5)) and got[2] == pytest.approx(1 / (1 + 2.718281828 ** -0.5))

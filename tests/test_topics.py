@@ -65,3 +65,20 @@ def test_term_weights_equal_hashed_weights(spark):
 def test_tfidf_weighs_rare_words_more(docs):
     got = topics.tfidf(docs, features=1 << 10)
     assert got.count() == 40 and "tfidf" in got.columns
+
+
+def test_known_topics(spark):
+    model = topics.known_topics(spark, ["a", "b", "c"], [[3.0, 1.0, 0.001], [0.001, 0.001, 5.0]])
+    words = {(r.topic, r["rank"]): (r.word, round(r.weight, 3)) for r in topics.describe(model, 2).collect()}
+    assert words[0, 1] == ("a", 0.75) and words[0, 2] == ("b", 0.25) and words[1, 1] == ("c", 1.0)
+    df = spark.createDataFrame([(1, ["a", "b", "x"]), (2, ["c", "c", "a"]), (3, [])], "id int, tokens array<string>")
+    got = {r.id: (r.top_topic, round(r.top_share, 3)) for r in topics.assign(model, df).collect()}
+    assert got == {1: (0, round(2.1 / 2.2, 3)), 2: (1, round(2.1 / 3.2, 3)), 3: (0, 0.0)}
+
+
+def test_saved_topics(spark, tmp_path):
+    model = topics.known_topics(spark, ["a", "b"], [[3.0, 1.0], [1.0, 3.0]])
+    topics.save_topics(model, str(tmp_path / "m"))
+    again = topics.load_topics(str(tmp_path / "m"))
+    df = spark.createDataFrame([(1, ["a", "b", "b"])], "id int, tokens array<string>")
+    assert rows(topics.assign(again, df)) == rows(topics.assign(model, df))
