@@ -260,8 +260,8 @@ def encode_decode(
     """Encode and decode every whole text; one row per input row, in any number of batches.
 
     The result has `id_col` and the columns of `schema`, which `derive` makes of a batch's ids and
-    decoded texts. A NULL or empty text has no ids and decodes to an empty text; rows that repeat
-    are each encoded. Other columns of `docs` are not read.
+    decoded texts, which are the library's decode of the ids. A NULL or empty text has no ids and
+    decodes to an empty text; rows that repeat are each encoded. Other columns of `docs` are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +270,7 @@ def encode_decode(
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
                 ids = list(coder.encode(string_column(part, text_col).to_pylist()))
-                columns = derive(coder, ids, [coder.decode(i) for i in ids])
+                columns = derive(coder, ids, coder.library.decode(ids, num_threads=1))
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=[id_col, *names])
 
     kind = docs.schema[id_col].dataType.simpleString()
