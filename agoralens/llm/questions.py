@@ -110,7 +110,7 @@ def _rules_sql(what: str) -> str:
 @question(f"""
 WITH parts AS (
   SELECT page_id, html, instr(url, '://') > 0 AS whole,
-    coalesce(lower(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)), '') AS host,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages),
 keyed AS (

@@ -12,7 +12,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from agoralens.operators.lookups import fits_broadcast
+from agoralens.operators.lookups import fits_broadcast, lookup_join
+from agoralens.sources.scratch import stored
 
 WORDS = 8
 #: Listed URLs per block on average: 256 bits for 16 URLs pass about 0.2 % of other URLs.
@@ -82,26 +83,31 @@ def bloom(listed: DataFrame, url_col: str = "canonical") -> DataFrame:
 def is_listed(pages: DataFrame, listed: DataFrame, max_rows: int = 500_000) -> DataFrame:
     """`pages` with `listed`, whether the canonical URL in column `url_key` is on the list.
 
-    `listed` has one column `canonical`, distinct and without NULL. The filter
-    is broadcast if it is counted to fit, else joined by its block numbers, which are spread evenly
-    whatever the URLs are. Only possible hits take part in the exact join; repeated URLs among them
-    meet once there. NULL URLs are not listed.
+    `listed` has one column `canonical`, distinct and without NULL, and is stored. The filter is broadcast
+    if it is counted to fit, and then every page asks it where it lies; else URLs that occur are joined
+    by their block numbers, which are spread evenly whatever the URLs are. Only possible hits are made
+    distinct and take part in the exact join; those on the list are looked up with frequent URLs split.
+    NULL URLs are not listed.
     """
-    filters = bloom(listed)
-    probe = pages.select("url_key").where(F.col("url_key").isNotNull()).distinct()
-    probe = probe.withColumn("blocks", filters.agg(F.max("blocks")).scalar()).where("blocks IS NOT NULL")
-    probe = probe.withColumn("block", _block(F.col("url_key"), F.col("blocks"))).drop("blocks")
+    listed = stored(listed, "listed")
+    filters = stored(bloom(listed), "filter")
+    probe = pages.select("url_key").where(F.col("url_key").isNotNull())
     side = filters.drop("blocks")
     if fits_broadcast(side, max_rows):
         side = F.broadcast(side)
+    else:
+        probe = probe.distinct()
+    probe = probe.withColumn("blocks", filters.agg(F.max("blocks")).scalar()).where("blocks IS NOT NULL")
+    probe = probe.withColumn("block", _block(F.col("url_key"), F.col("blocks"))).drop("blocks")
     hit = F.lit(True)
     for i, bit in enumerate(_bits(F.col("url_key"))):
         hit = hit & (F.col(f"w{i}").bitwiseAND(bit) != 0)
-    possible = probe.join(side, "block").where(hit).select("url_key")
+    possible = probe.join(side, "block").where(hit).select("url_key").distinct()
     sure = possible.join(listed.withColumnRenamed("canonical", "url_key"), "url_key")
-    return pages.join(sure.withColumn("listed", F.lit(True)), "url_key", "left").withColumn(
-        "listed", F.coalesce("listed", F.lit(False))
-    )
+    sure = stored(sure.withColumn("listed", F.lit(True)), "sure")
+    known = lookup_join(pages.where(F.col("url_key").isNotNull()), sure, ["url_key"], "left")
+    known = known.withColumn("listed", F.coalesce("listed", F.lit(False)))
+    return known.unionByName(pages.where(F.col("url_key").isNull()).withColumn("listed", F.lit(False)))
 
 
 def judge(
