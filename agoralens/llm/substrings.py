@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from agoralens.llm.batches import Chunk, Words, chunks, find_words, rolling, string_column, windows
 from agoralens.llm.shared import only_ids
-from agoralens.sources.scratch import new_folder
+from agoralens.sources.scratch import Scratch
 
 
 def _rows(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, Chunk, Words, slice]]:
@@ -59,10 +59,12 @@ def remove_repeats(
     Rows without an id lose nothing and cause nothing. Rows that share an id do not cause removals
     in each other; each of them is judged by its own text. Other columns are not read.
 
-    Copies (equal words) are settled by their smallest id first. With `texts`, `kept` is NULL where nothing is removed. Stored in the shared folder: per
-    document its anchors, the shared anchors' places, and the windows around them.
+    Copies (equal words) are settled by their smallest id first. With `texts`, `kept` is NULL where
+    nothing is removed. Stored in the shared folder: per
+    document its anchors, the shared anchors' places, and the windows around them; what the result does
+    not read is deleted before it is returned.
     """
-    spark = docs.sparkSession
+    tables = Scratch(docs.sparkSession)
     docs = docs.select(id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -84,25 +86,19 @@ def remove_repeats(
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=[id_col, *names])
 
     names = ["n_words", "words_id", "whole_sha256", "anchors", "places"]
-    stored = new_folder(spark, "seeds")
-    docs.mapInArrow(
-        seeds,
-        f"`{id_col}` {kind}, n_words long, words_id binary, whole_sha256 string, anchors array<long>, places array<int>",
-    ).write.parquet(stored)
-    base = spark.read.parquet(stored)
+    seed_schema = f"`{id_col}` {kind}, n_words long, words_id binary, whole_sha256 string, anchors array<long>, places array<int>"
+    base = tables.stored(docs.mapInArrow(seeds, seed_schema), "seeds")
     alone = base.where(F.col(id_col).isNotNull() & (F.col("n_words") >= window))
     copies = (
         alone.groupBy("words_id").agg(F.count("*").alias("n"), F.min(id_col).alias("first_id")).where("n > 1").drop("n")
     )
-    copies_stored = new_folder(spark, "copies")
-    copies.write.parquet(copies_stored)
-    copies = spark.read.parquet(copies_stored)
+    copies = tables.stored(copies, "copies")
     firsts = alone.join(copies, "words_id", "left").where(F.col("first_id").isNull() | (F.col("first_id") == F.col(id_col)))
     seeded = firsts.select(id_col, F.inline(F.arrays_zip(F.col("anchors").alias("anchor"), F.col("places").alias("place"))))
     shared = seeded.groupBy("anchor").agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).where("lo < hi").select("anchor")
-    at_stored = new_folder(spark, "places")
-    seeded.join(shared, "anchor").groupBy(id_col).agg(F.collect_list("place").alias("at")).write.parquet(at_stored)
-    at = spark.read.parquet(at_stored)
+    # Aggregates are stored before they are joined, so that the join may split a very frequent anchor or window.
+    shared = tables.stored(shared, "shared")
+    at = tables.stored(seeded.join(shared, "anchor").groupBy(id_col).agg(F.collect_list("place").alias("at")), "places")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,15 +119,12 @@ def remove_repeats(
                     )
 
     around = only_ids(docs, at, id_col).join(at, id_col)
-    hashed_stored = new_folder(spark, "windows")
-    around.mapInArrow(extend, f"h1 long, h2 long, `{id_col}` {kind}").write.parquet(hashed_stored)
-    hashed = spark.read.parquet(hashed_stored)
+    hashed = tables.stored(around.mapInArrow(extend, f"h1 long, h2 long, `{id_col}` {kind}"), "windows")
     earliest = hashed.groupBy("h1", "h2").agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).where("lo < hi").drop("hi")
-    gone_stored = new_folder(spark, "gone")
-    hashed.join(earliest, ["h1", "h2"]).where(F.col(id_col) > F.col("lo")).groupBy(id_col).agg(
-        F.collect_set("h1").alias("gone")
-    ).write.parquet(gone_stored)
-    gone = spark.read.parquet(gone_stored)
+    earliest = tables.stored(earliest, "earliest")
+    later = hashed.join(earliest, ["h1", "h2"]).where(F.col(id_col) > F.col("lo"))
+    gone = tables.stored(later.groupBy(id_col).agg(F.collect_set("h1").alias("gone")), "gone")
+    tables.drop(base, copies, gone)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
