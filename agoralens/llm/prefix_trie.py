@@ -75,7 +75,7 @@ def rebuilt(conversations: DataFrame, *, long: int = LONG) -> DataFrame:
     base = F.col("conv_id") - F.col("conv_id") % GROUP
     known = counts.select("conv_id", base.alias("base"), (F.crc32(F.col("conv_id").cast("string").cast("binary")) % BORROWED).cast("int").alias("h"))
     sizes = counts.where(F.col("conv_id") % GROUP == 0).select(F.col("conv_id").alias("base"), F.least("n", F.lit(BORROWED)).cast("int").alias("lent"))
-    known = known.join(sizes, "base", "left").withColumn("lent", F.coalesce(F.least("lent", "h"), F.lit(0)))
+    known = known.join(sizes, "base", "left").withColumn("lent", F.least(F.coalesce("lent", F.lit(0)), "h"))
     placed = numbered(turns, counts, long)
     own = placed.join(known.select("conv_id", "h", "lent"), "conv_id").where("p > h")
     own = own.select("conv_id", (F.col("p") - F.col("h") + F.col("lent")).alias("pos"), "m", "chars")
