@@ -134,3 +134,25 @@ def test_trees_are_monotone_and_flat():
 
     one = trees.start + sum(walk(x[7], root) for root in trees.roots)
     assert trees.score(x[7:8])[0] == pytest.approx(one)
+
+
+def test_every_language_is_learned(spark):
+    """Rare languages are learned next to frequent ones, and repeated rows count once; more languages than
+    the sample may have texts are refused."""
+    alphabets = {"a": "abcde", "b": "fghij", "rare": "klmno"}
+    rows = [(i, f"{w}{w[::-1]} {w} {i % 7}", lang) for lang, w in alphabets.items() for i in range(2 if lang == "rare" else 120)]
+    rows += [(3, "abcde abcde", "a")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, per_language=10, most=30)
+    assert model.languages == ["a", "b", "rare"]
+    found = {r.doc_id: r.lang_pred for r in language.predict(spark.createDataFrame([(1, "klmno onmlk klm"), (2, "fghij jihgf")], "doc_id long, text string"), model).collect()}
+    assert found == {1: "rare", 2: "b"}
+    with pytest.raises(ValueError, match="languages"):
+        language.train(docs, most=2)
+    assert language.only_learned(docs, language.fit([])).count() == 0
+
+
+def test_share_of_known_grams():
+    assert language.upper_share(0, 0) == 1.0 and language.upper_share(10, 10) == pytest.approx(1.0)
+    assert language.upper_share(50, 100) > 0.5 > language.upper_share(30, 100) > 0.3
+    assert language.upper_share(5, 10) > language.upper_share(50, 100)
