@@ -141,3 +141,20 @@ def test_stored_tables_are_cleared(spark):
     assert df.count() == 10 and os.path.isdir(folder)
     scratch.clear(spark)
     assert not os.path.exists(folder)
+
+
+def test_scratch_drops_what_is_not_needed(spark):
+    """Tables that a result still reads stay, also empty ones."""
+    import os
+
+
+    tables = scratch.Scratch(spark)
+    first, second = tables.stored(spark.range(3), "a"), tables.stored(spark.range(0), "b")
+    tables.stored(spark.range(5), "c")
+    folders = [folder for folder, _ in tables.tables]
+    before = scratch.made_so_far()
+    tables.drop(first, second)
+    assert [os.path.exists(f) for f in folders] == [True, True, False] and scratch.made_so_far() == before - 1
+    assert first.count() == 3 and second.count() == 0
+    tables.drop()
+    assert not any(os.path.exists(f) for f in folders)
