@@ -27,8 +27,9 @@ def test_edited_texts_like_brute_force(spark):
     assert found.where("near_edited NOT BETWEEN 0 AND 1 OR near_next NOT BETWEEN 0 AND 1").count() == 0
 
 
-def signatures(text):
-    """Chains by plain loops: the anchors before a content word, the word, the next content word."""
+def signatures(text, cover=False):
+    """Chains by plain loops: the anchors before a content word, the word, the next content word. `cover`:
+    and pairs of content words where neither has an anchor before it."""
     tokens = [w for w in __import__("regex").split(r"[^\p{L}\p{M}\p{N}]+", (text or "").lower()) if w]
     if not tokens:
         return set()
@@ -44,11 +45,27 @@ def signatures(text):
     for k, (anchors, w) in enumerate(parts):
         if anchors:
             out.add((anchors, w, parts[k + 1][1] if k + 1 < len(parts) else ""))
+        elif cover and k + 1 < len(parts) and not parts[k + 1][0]:
+            out.add(("", w, parts[k + 1][1]))
     if tail:
         out.add((tail, None, ""))
     return out
 
 
+def test_likenesses_like_brute_force(spark):
+    """Both likenesses of every document, from plain sets of covering signatures."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    order = sorted(((r.doc_id, r.text or "") for r in df.collect()), reverse=True)
+    expected = {}
+    for k, (i, text) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        cut = len(text) // 3
+        own, other, following = (signatures(t, cover=True) for t in (text, text[: len(text) - cut] + after[:cut], after))
+        expected[i] = [len(own & s) / len(own | s) if own | s else 1.0 for s in (other, following)]
+    for r in spots.fingerprint_and_edited(df).collect():
+        assert [r.near_edited, r.near_next] == pytest.approx(expected[r.doc_id]), r.doc_id
+
+
 def test_set_sizes_like_brute_force(spark, awkward):
     text = "The cat sat on the mat, and the dog of the house ran. Der Hund und die Katze"
     df = spark.createDataFrame([(1, text), (2, text.upper()), (3, "plain words only"), (4, "the"), (5, None)], "doc_id long, text string")
