@@ -29,6 +29,7 @@ POST_FEATURES = (
     "selftext_token_count", "selftext_char_len",
     "post_hour", "post_dow", "is_weekend",
 )
+POST_TEXT_FEATURES = POST_FEATURES[:-3]
 COMMENT_ROW_FEATURES = (
     "score", "body_length", "punctuation_count", "num_words", "is_top_level", "gilded", "hour",
 )
@@ -123,10 +124,19 @@ def post_features(
     """Add size, question and time features of each post. NULL texts count as empty.
 
     Tokens are those of the cleaned text; sentences and questions are looked for in the text
-    before cleaning, since cleaned tokens have no punctuation.
+    before cleaning, since cleaned tokens have no punctuation. Where the time comes from another
+    table, call the two parts instead, with the join between them: it then carries no text.
     """
+    measured = post_text_features(df, text=text, tokens=tokens, title=title, body=body)
+    return post_time_features(measured, created, weekend)
+
+
+def post_text_features(
+    df: DataFrame, *, text: str = "raw_text", tokens: str = "tokens", title: str = "title", body: str = "selftext"
+) -> DataFrame:
+    """Size and question features, which need the texts only."""
     whole = F.coalesce(text, F.lit(""))
-    out = df.withColumns(
+    return df.withColumns(
         {
             "token_count": F.coalesce(F.size(tokens), F.lit(0)),
             "sentence_count": F.size(F.split(whole, r"\.")),
@@ -137,6 +147,14 @@ def post_features(
             "title_has_question_mark": has_mark(title, "?"),
             "selftext_token_count": space_pieces(body),
             "selftext_char_len": F.length(F.coalesce(body, F.lit(""))),
+        }
+    )
+
+
+def post_time_features(df: DataFrame, created: str = "created", weekend: tuple[int, ...] = (1, 7)) -> DataFrame:
+    """Time features; 0 for posts without a time."""
+    out = df.withColumns(
+        {
             "post_hour": F.hour(created),
             "post_dow": F.dayofweek(created),
             "is_weekend": is_weekend(F.dayofweek(created), weekend),

@@ -68,8 +68,8 @@ def _post_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text features are taken before the facts are joined on, so the join is narrow."""
     created = roles.post_meta(spark, sf_dir).select("id", "created", "num_comments")
     cleaned = clean.clean_posts(roles.post_texts(spark, sf_dir), stop_words=())
-    joined = cleaned.join(created, "id", "left")
-    return features.post_features(joined)
+    measured = features.post_text_features(cleaned).select("id", "clean_text", *features.POST_TEXT_FEATURES)
+    return features.post_time_features(measured.join(created, "id", "left"))
 
 
 @question(f"""
@@ -95,7 +95,9 @@ def post_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = clean.drop_removed(roles.post_texts(spark, sf_dir), "selftext")
     marked = posts.withColumns({"raw_text": whole}).withColumn("tokens", tokenize("raw_text"))
     created = roles.post_meta(spark, sf_dir).select("id", "created")
-    out = features.post_features(marked.join(created, "id", "left"))
+    # The join carries numbers, no texts.
+    measured = features.post_text_features(marked).select("id", *features.POST_TEXT_FEATURES)
+    out = features.post_time_features(measured.join(created, "id", "left"))
     kept = [c for c in features.POST_FEATURES if c not in ("token_count", "char_len_clean")]
     return out.select("id", F.col("token_count").alias("token_count_before_markup"), *kept)
 

@@ -175,3 +175,23 @@ def test_controversy_model_scores_rows_without_features(spark):
         model = ml.controversy_pipeline(["a", "b"], trees=trees).fit(df)
         scored = ml.score(model, df)
         assert scored.where("probability_positive IS NOT NULL").count() == 80
+
+
+def test_post_features_join_no_texts(spark, tmp_path):
+    """What is shuffled for the time of a post is numbers, in the query as well."""
+    from agoralens.plans import models
+
+    docs = spark.createDataFrame([(i, f"title {i}\nA body. Is it?", "a") for i in range(5)], "doc_id long, text string, source string")
+    events = spark.createDataFrame([(i, i, 1.0) for i in range(4)], "event_id long, user_id long, value double")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    events.withColumn("ts", F.timestamp_seconds(F.col("event_id") * 3_600)).write.parquet(str(tmp_path / "events.parquet"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (models.post_features(spark, str(tmp_path)), models._post_features(spark, str(tmp_path))):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert not any(f"{c}#" in plan.split("Join LeftOuter")[0] for c in ("selftext", "raw_text", "tokens"))
+            got = {r.id: (r.sentence_count, r.title_token_count, r.post_hour) for r in df.collect()}
+            assert got == {i: (2, 2, i if i < 4 else 0) for i in range(5)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
