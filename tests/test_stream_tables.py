@@ -88,3 +88,42 @@ def test_what_spark_drops_is_late(spark, folder, tmp_path):  # noqa: F811
     per_minute = kept.groupBy(F.window("ts", "1 minute").start.alias("window_start")).agg(F.count("*").alias("n"))
     counted = {r.window_start: r.n for r in table.rows().collect()}
     assert kept.count() == 5 and all(counted[r.window_start] >= r.n for r in per_minute.collect())
+
+
+def test_timed_sessions_set_one_timer_per_key():
+    """However many sessions of a key are open, a batch sets at most one timer, and one value is kept."""
+    calls, state = [], {}
+
+    class Handle:
+        def getValueState(self, name, schema):  # noqa: N802
+            return type("Value", (), {
+                "get": lambda _: state.get(name), "update": lambda _, v: state.update({name: v}), "clear": lambda _: state.pop(name, None),
+            })()
+
+        def registerTimer(self, end):  # noqa: N802
+            calls.append(end)
+
+        def deleteTimer(self, end):  # noqa: N802
+            calls.remove(end)
+
+    class Now:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentWatermarkInMs(self):  # noqa: N802
+            return self.ms
+
+        getExpiryTimeInMs = getCurrentWatermarkInMs  # noqa: N815
+
+    sessions = timers.Sessions(1_000)
+    sessions.init(Handle())
+    pieces = [{"first_us": i * 10_000, "last_us": i * 10_000, "n_events": 1} for i in range(50)]
+    assert not list(sessions.handleInputRows(("a",), iter(pieces), Now(0)))
+    assert not list(sessions.handleInputRows(("a",), iter(pieces[10:20]), Now(0)))
+    assert calls == [2] and len(state["open"][0]) == 50
+    calls.remove(2)  # It fires late: all sessions that are over go at once.
+    closed = list(sessions.handleExpiredTimer(("a",), Now(152), Now(2)))
+    assert [r.first_us for r in closed] == [i * 10_000 for i in range(16)] and sum(r.n_events for r in closed) == 22
+    assert calls == [162] and len(state["open"][0]) == 34
+    assert len(list(sessions.handleExpiredTimer(("a",), Now(10_000), Now(162)))) == 34
+    assert "open" not in state
