@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from agoralens.functions.text import TOKEN_JOINER, each_word
-from agoralens.operators.lookups import lookup_join
+from agoralens.operators.lookups import frequent_join, lookup_join
 from agoralens.sources.scratch import stored
 
 
@@ -175,15 +175,15 @@ def ranked_words(topic_summary: DataFrame, k: int = 10) -> DataFrame:
 def term_weights(df: DataFrame, id_col: str = "id", tokens: str = "tokens") -> DataFrame:
     """(id, word, tf, weight) in long form, without hashing words together.
 
-    The weight is tf * ln((documents + 1) / (documents with the word + 1)), as in `tfidf`. A word
-    found in very many documents is split over tasks when its frequency is looked up. Texts are read
-    once; what follows works on the stored counts.
+    The weight is tf * ln((documents + 1) / (documents with the word + 1)), as in `tfidf`. The
+    frequencies of the words found in most documents are known to every task, so only rows of rare
+    words are shuffled to look theirs up. Texts are read once; what follows works on the stored counts.
     """
     tf = stored(each_word(df, tokens, id_col).groupBy(id_col, "word").agg(F.count("*").alias("tf")), "tf")
     spread = stored(tf.groupBy("word").agg(F.count("*").alias("_docs")), "words")
     documents = df.agg(F.count("*").alias("n")).scalar()
     weight = F.col("tf") * F.log((documents + 1.0) / (F.col("_docs") + 1.0))
-    return lookup_join(tf, spread, ["word"]).select(id_col, "word", "tf", weight.alias("weight"))
+    return frequent_join(tf, spread, "word", "_docs").select(id_col, "word", "tf", weight.alias("weight"))
 
 
 def tfidf(df: DataFrame, tokens: str = "tokens", features: int = 1 << 18, min_docs: int = 0) -> DataFrame:

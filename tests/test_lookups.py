@@ -117,3 +117,17 @@ def test_vectorised_functions(spark):
     shift = map_series_with_setup(lambda: lambda s: s + 1, "double")
     assert rows(df.select(double("v"), shift("v"))) == [(10.0, 6.0), (4.0, 3.0), (8.0, 5.0)]
     assert "Python" not in plan(demean(df, ["k"], "v"))
+
+
+def test_most_used_keys_are_not_shuffled(spark):
+    """A lookup too large to broadcast: rows of its most used keys join without a shuffle, none is lost."""
+    words = [(i, w) for i in range(40) for w in ("the", "a", f"w{i}", f"v{i % 20}", "x" * 50)] + [(99, None)]
+    df = spark.createDataFrame(words, "id int, word string")
+    lookup = lookups.stored(df.groupBy("word").agg(F.count("*").alias("n")).withColumn("extra", F.upper("word")))
+    whole = rows(df.join(lookup, "word").select("id", "word", "n", "extra"))
+    for most in (1, 2, 3, 5, 22, 1_000):
+        got = lookups.frequent_join(df, lookup, "word", "n", most)
+        assert rows(got.select("id", "word", "n", "extra")) == whole
+    shuffled = lookups.frequent_join(df, lookup, "word", "n", 3)
+    known = shuffled._jdf.queryExecution().optimizedPlan().toString().split("Project")[1]
+    assert "strategy=broadcast" in known
