@@ -11,8 +11,8 @@ from agoralens.sources.scratch import cut_lineage, new_folder, stored
 from agoralens.sources.tables import write_bucketed
 
 
-#: Edges that one bucket should hold at most.
-BUCKET_ROWS = 5_000_000
+#: Edges that one bucket should hold at most; what a round looks up in a bucket is held in memory.
+BUCKET_ROWS = 2_000_000
 
 
 def pagerank(
@@ -30,24 +30,24 @@ def pagerank(
     `keep_unlinked` keeps them at 1 - damping.
 
     The edges are written once as a table bucketed by source, with those of very large sources
-    spread over parts, and are not shuffled again: a round moves one row per source and, added up
-    beforehand, one per task and target. Ranks are stored every `checkpoint_every` rounds.
+    spread over parts; that is their only shuffle, and equal ones meet there. A round moves one row per
+    source and, added up beforehand, one per task and target; the shares are hashed, so that edges are
+    not sorted. Ranks are stored every `checkpoint_every` rounds.
     """
-    distinct = cut_lineage(edges.select("src", "dst").distinct())
-    sources = cut_lineage(distinct.groupBy("src").agg(F.count("*").alias("_out")))
-    total = sources.agg(F.sum("_out").alias("total")).scalar()
-    hot = sources.where(F.col("_out") * F.lit(HOT_SHARE) > total).select(
-        "src", F.lit(True).alias("_hot")
-    )
     spark = edges.sparkSession
+    drawn = edges.select("src", "dst")
+    raw = stored(drawn.groupBy("src").agg(F.count("*").alias("_rows")), "degrees")
+    total = raw.agg(F.sum("_rows").alias("total")).first()["total"] or 0
+    hot = raw.where(F.col("_rows") * F.lit(HOT_SHARE) > total).select("src", F.lit(True).alias("_hot"))
     table = f"links_{uuid.uuid4().hex}"
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-distinct.count() // BUCKET_ROWS))
-    write_bucketed(
-        spread_rows(distinct, hot, ["src"]).repartition(tasks, "src", "_part"),
-        table, ["src", "_part"], tasks, path=new_folder(spark, "links"),
-    )
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ROWS))
+    # Equal edges have one source and part, so they are in one bucket.
+    links = spread_rows(drawn, hot, ["src"]).repartition(tasks, "src", "_part").distinct()
+    write_bucketed(links, table, ["src", "_part"], tasks, path=new_folder(spark, "links"))
     try:
-        return _ranks(spark.table(table), sources, hot, iterations, damping, keep_unlinked, checkpoint_every)
+        links = spark.table(table)
+        sources = stored(links.groupBy("src").agg(F.count("*").alias("_out")), "sources")
+        return _ranks(links, sources, hot, iterations, damping, keep_unlinked, checkpoint_every)
     finally:
         spark.sql(f"DROP TABLE {table}")
 
@@ -63,7 +63,7 @@ def _ranks(
         shares = sources.join(ranks.withColumnRenamed("node", "src"), "src").select(
             "src", (F.col("rank") / F.col("_out")).alias("_share")
         )
-        sent = links.join(spread_lookup(shares, hot, ["src"]), ["src", "_part"])
+        sent = links.join(spread_lookup(shares, hot, ["src"]).hint("shuffle_hash"), ["src", "_part"])
         received = sent.groupBy(F.col("dst").alias("node")).agg(F.sum("_share").alias("_sum"))
         if keep_unlinked:
             received = nodes.join(received, "node", "left").fillna(0.0, subset=["_sum"])
@@ -71,7 +71,7 @@ def _ranks(
             "node", (F.col("_sum") * damping + F.lit(1 - damping)).alias("rank")
         )
         if step % checkpoint_every == 0 or step == iterations:
-            ranks = cut_lineage(ranks)
+            ranks = stored(ranks, "ranks")
     return ranks
 
 

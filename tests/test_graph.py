@@ -49,3 +49,20 @@ def test_reach(spark):
     seeds = spark.createDataFrame([(1,), (1,), (9,)], "node int")
     assert rows(graph.reach(df, seeds)) == [(1, 0), (2, 1), (3, 2), (4, 1), (9, 0)]
     assert graph.reach(df, seeds.limit(0)).count() == 0
+
+
+def test_rounds_neither_sort_nor_shuffle_edges(spark, monkeypatch):
+    """Equal edges count once, in hot sources too, without a second shuffle of edges; a round hashes the
+    shares and leaves the bucketed edges as they lie."""
+    edges = [("hub", f"n{i % 50}") for i in range(300)] + [(f"n{i % 50}", "hub") for i in range(300)]
+    df = spark.createDataFrame(edges, "src string, dst string")
+    plans, stored = [], graph.stored
+
+    def spy(table, name="table"):
+        plans.append(table._jdf.queryExecution().sparkPlan().toString())
+        return stored(table, name)
+
+    monkeypatch.setattr(graph, "stored", spy)
+    got = {r.node: r["rank"] for r in graph.pagerank(df, 1).collect()}
+    assert got == pytest.approx(plain_ranks(edges, 1))
+    assert "ShuffledHashJoin [src" in plans[-1] and "SortMergeJoin" not in plans[-1].split("ShuffledHashJoin")[0]
