@@ -125,6 +125,27 @@ def engagement_forest(
     )
 
 
+#: Binned values of one partition that tree growing keeps and reads in one task: 400 MB of integers.
+TREE_VALUES = 100_000_000
+
+
+def fit_forest(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """`pipeline.fit`, with the vectors that the trees are grown on in parts of bounded size.
+
+    Trees are grown on dense rows of one integer per feature, kept by partition, so a partition of
+    sparse vectors may be a hundred times larger there. Tables whose parts are small enough stay as
+    they lie, as the forest draws its rows by partition.
+    """
+    *stages, forest = pipeline.getStages()
+    made = Pipeline(stages=stages).fit(train)
+    vectors = made.transform(train).select(forest.getLabelCol(), forest.getFeaturesCol())
+    one = vectors.first()
+    parts = -(-train.count() * (one[1].size if one else 0) // TREE_VALUES)
+    if parts > vectors.rdd.getNumPartitions():
+        vectors = vectors.repartition(parts)
+    return PipelineModel([*made.stages, forest.fit(vectors)])
+
+
 def _bag_of_words(text: str, vocabulary: int, min_docs: int) -> list:
     return [
         RegexTokenizer(

@@ -355,7 +355,7 @@ def engagement_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def engagement_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Random forest on oversampled posts, and always guessing the larger class."""
     train, test = split.hash_split(_engagement_rows(spark, sf_dir), "id")
-    forest = ml.engagement_forest().fit(stored(ml.oversample(train, "id")))
+    forest = ml.fit_forest(ml.engagement_forest(), stored(ml.oversample(train, "id")))
     return ml.evaluate_binary(ml.score(forest, test), "forest").unionByName(
         ml.evaluate_binary(ml.majority_baseline(test), "majority")
     )

@@ -195,3 +195,26 @@ def test_post_features_join_no_texts(spark, tmp_path):
             assert got == {i: (2, 2, i if i < 4 else 0) for i in range(5)}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_forest_rows_in_bounded_parts(spark, monkeypatch):
+    """However few parts the training table has, trees are grown on parts of bounded size, on all rows."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    df = spark.range(200).coalesce(1).select(*[(F.col("id") * k).cast("double").alias(f"x{k}") for k in (1, 2)], (F.col("id") >= 100).cast("double").alias("label"))
+    pipeline = Pipeline(stages=[VectorAssembler(inputCols=["x1", "x2"], outputCol="features"), RandomForestClassifier(numTrees=3, seed=1)])
+    seen, fit = [], RandomForestClassifier.fit
+
+    def spy(self, data, *more):
+        seen.append([n for n in data.rdd.glom().map(len).collect()])
+        return fit(self, data, *more)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", spy)
+    same = [ml.fit_forest(pipeline, df).stages[-1].toDebugString, pipeline.fit(df).stages[-1].toDebugString]
+    assert same[0].split("\n", 1)[1] == same[1].split("\n", 1)[1]
+    monkeypatch.setattr(ml, "TREE_VALUES", 100)
+    model = ml.fit_forest(pipeline, df)
+    assert seen[0] == [200] and len(seen[2]) == 4 and sum(seen[2]) == 200 and max(seen[2]) <= 100
+    assert model.transform(df).where("prediction = label").count() > 180
