@@ -57,7 +57,9 @@ def topic_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words and a sample document per topic."""
     docs = _docs(spark, sf_dir)
     model = _model(spark, sf_dir, docs)
-    samples = topics.samples(topics.assign(model, docs))
+    # Stored, as samples are found in two passes and topics are worked out anew in each.
+    assigned = stored(topics.assign(model, docs).select("id", "clean_text", "top_topic"), "assigned")
+    samples = topics.samples(assigned)
     return topics.summary_with_sample(topics.summary(topics.describe(model)), samples)
 
 

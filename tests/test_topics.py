@@ -82,3 +82,18 @@ def test_saved_topics(spark, tmp_path):
     again = topics.load_topics(str(tmp_path / "m"))
     df = spark.createDataFrame([(1, ["a", "b", "b"])], "id int, tokens array<string>")
     assert rows(topics.assign(again, df)) == rows(topics.assign(model, df))
+
+
+def test_summary_works_topics_out_once(spark, monkeypatch):
+    """Samples are looked for in two passes over what was assigned, not by assigning twice."""
+    from agoralens.plans import topic_models as plans
+
+    model = topics.known_topics(spark, ["a", "b", "c"], [[3.0, 1.0, 0.001], [0.001, 0.001, 5.0]])
+    docs = topics.word_tokens(spark.createDataFrame([(1, "a@b"), (2, "c@c"), (3, "b@a")], "id int, clean_text string"))
+    monkeypatch.setattr(plans, "_docs", lambda *_: docs)
+    monkeypatch.setattr(plans, "_model", lambda *_: model)
+    seen, samples = [], topics.samples
+    monkeypatch.setattr(topics, "samples", lambda df: (seen.append(df), samples(df))[1])
+    table = plans.topic_summary(spark, "").collect()
+    assert [(r.topic, r.sample_submission) for r in table] == [(0, "a b"), (1, "c c")]
+    assert "UDF" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
