@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +38,76 @@ def test_same_seed_gives_the_same_topics(docs, model):
     assert rows(topics.describe(again, 3).select("topic", "rank", "word")) == rows(topics.describe(model, 3).select("topic", "rank", "word"))
 
 
+def _written(spark, tmp_path):
+    """Three files of documents, some of them empty, equal or long, as vectors."""
+    from pyspark.ml.feature import CountVectorizerModel
+
+    def tokens(i):
+        return [] if i % 11 == 0 else [f"w{(i % 3) * 10 + (i * j) % 10}" for j in range(1 + i % 9 * (30 if i % 50 == 7 else 1))]
+
+    df = spark.createDataFrame([(i, tokens(i)) for i in range(200)], "id int, tokens array<string>").repartitionByRange(3, "id")
+    words = CountVectorizerModel.from_vocabulary([f"w{n}" for n in range(30)], inputCol="tokens", outputCol="counts")
+    words.transform(df).write.parquet(str(tmp_path / "counts"))
+    return spark.read.parquet(str(tmp_path / "counts"))
+
+
+@pytest.mark.parametrize("share, learn", [(1.0, True), (0.5, True), (1.0, False)])
+def test_topics_are_those_of_lda(spark, tmp_path, share, learn):
+    from pyspark.ml.clustering import LDA
+
+    from agoralens.operators import variational
+    from agoralens.sources import scratch
+
+    counts = _written(spark, tmp_path)
+    lda = LDA(k=3, maxIter=4, featuresCol="counts", seed=7, subsamplingRate=share, optimizeDocConcentration=learn)
+    weights, priors = variational.fit(counts, lda)
+    # Draws and starts go by partition, so both learn from the same files.
+    known = lda.fit(spark.read.parquet(scratch.made_since(0)[-1]))
+    assert np.allclose(weights, known.topicsMatrix().toArray(), rtol=1e-6)
+    assert np.allclose(priors, known.estimatedDocConcentration().toArray(), rtol=1e-6)
+
+
+def test_documents_drawn_again(spark):
+    """A pass draws as many documents as there are, so it draws some of them two or three times."""
+    from agoralens.operators import variational
+
+    counts = spark.range(30).selectExpr("id AS row", "array(0, 1) AS indices", "array(2D, 1D) AS values")
+    drawn = counts.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3)))).drop("copy").coalesce(1)
+    factors, starts, alpha = np.full((2, 3), 0.4) + np.arange(6).reshape(2, 3) / 10, np.ones((1, 3)), np.full(3, 0.3)
+    once = variational._pass(counts.coalesce(1), factors, starts, alpha)
+    thrice = variational._pass(drawn, factors, starts, alpha)
+    assert np.allclose(3 * once[0], thrice[0]) and np.allclose(3 * once[1], thrice[1])
+    assert (3 * once[2], 3 * once[3]) == thrice[2:]
+
+
+def test_settled_documents_do_not_depend_on_their_block():
+    from agoralens.operators import variational
+
+    random = np.random.default_rng(1)
+    words, times = random.gamma(1, 1, (40, 3, 12)), random.integers(0, 4, (40, 12)).astype(float)
+    start, alpha = np.tile(random.gamma(100, 0.01, 3), (40, 1)), np.full(3, 0.1)
+    settled, weights, thetas, ratios = variational.settle(words, times, start, alpha)
+    assert settled.all()
+    for i in range(40):
+        alone = variational.settle(words[[i]], times[[i]], start[[i]], alpha)
+        for got, want in zip((weights, thetas, ratios), alone[1:]):
+            assert np.allclose(got[i], want[0])
+    some, half, *_ = variational.settle(words, times, start, alpha, 20)
+    assert 20 <= some.sum() < 40 and np.allclose(half[some], weights[some])
+    rest = variational.settle(words[~some], times[~some], half[~some], alpha)
+    assert np.allclose(rest[1], weights[~some])
+
+
+def test_digamma():
+    from agoralens.operators import variational
+
+    euler = 0.57721566490153286
+    assert variational.digamma(np.array([1.0, 2.0, 0.5])) == pytest.approx([-euler, 1 - euler, -euler - 2 * np.log(2)], abs=1e-13)
+    assert variational.trigamma(np.array([1.0, 0.5])) == pytest.approx([np.pi**2 / 6, np.pi**2 / 2], abs=1e-12)
+    x = np.array([1e-8, 1e-3, 0.1, 3.0, 1e3, 1e8])
+    assert variational.digamma(x + 1) - variational.digamma(x) == pytest.approx(1 / x, rel=1e-6)
+
+
 def test_ranked_words(spark):
     df = spark.createDataFrame([(0, "a, b,c"), (1, "x")], "topic int, topic_words string")
     assert rows(topics.ranked_words(df, 2)) == [(0, 1, "a"), (0, 2, "b"), (1, 1, "x")]
