@@ -318,9 +318,13 @@ def roc_auc(scored: DataFrame, score_col: str, label: str = LABEL) -> DataFrame:
 def evaluate_binary(
     predicted: DataFrame, split: str, score_col: str = "probability_positive", label: str = LABEL
 ) -> DataFrame:
-    """One row of metrics for a scored split."""
-    return binary_metrics(predicted, label).select(
-        F.lit(split).alias("split"), "*", roc_auc(predicted, score_col, label).scalar().alias("auc")
+    """One row of metrics for a scored split.
+
+    What the model says is stored, as the curve takes several passes and each would score all rows anew.
+    """
+    scored = stored(predicted.select(*dict.fromkeys([label, "prediction", score_col])), "scored")
+    return binary_metrics(scored, label).select(
+        F.lit(split).alias("split"), "*", roc_auc(scored, score_col, label).scalar().alias("auc")
     )
 
 

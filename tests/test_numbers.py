@@ -219,6 +219,20 @@ def test_cross_validation_over_stored_vectors(spark):
     assert ml.roc_auc(ml.score(model, df), "probability_positive").first().auc > 0.99
 
 
+def test_evaluation_scores_every_row_once(spark):
+    asked = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def scored(x):
+        asked.add(1)
+        return x / 10
+
+    df = spark.range(10).selectExpr("double(id) AS x", "double(id > 4) AS label", "double(id > 5) AS prediction")
+    got = ml.evaluate_binary(df.withColumn("probability_positive", scored("x")), "test").first()
+    assert (got.split, got.n, got.accuracy, got.auc) == ("test", 10, 0.9, 1.0)
+    assert asked.value == 10
+
+
 def test_known_logistic(spark):
     df = spark.createDataFrame([(1, 2.0, 1.0), (2, 0.0, 0.0)], "id int, a double, b double")
     got = {r.id: r.probability_positive for r in ml.score(ml.known_logistic(spark, ["a", "b"], [1.0, -2.0], 0.5), df).collect()}
