@@ -1,13 +1,16 @@
 """Word models, language and quality."""
 
 import math
+import pathlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from agoralens.llm import language, quality, questions, word_model
+from agoralens.sources import scratch
 
 SF = "/root/testdata/sf0.01"
 
@@ -55,6 +58,43 @@ def test_word_model_grows_and_knows_every_script(spark, awkward, empty):
     assert word_model.score(empty, word_model.count(empty.withColumn("good", F.lit(True)), "good")).count() == 0
 
 
+def test_word_model_of_many_buckets_and_blocks(spark, monkeypatch):
+    """Losses do not depend on how keys and texts are dealt out, and copies of a row all get theirs."""
+    dice = np.random.default_rng(4)
+    rows = [(k, " ".join(f"w{x}" for x in dice.zipf(1.3, 60) % 500), bool(k % 3)) for k in range(40)] * 2 + [(None, None, True), (None, "", False), (None, "only", True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, good boolean")
+    told = []
+    for size in (10**9, 300):
+        monkeypatch.setattr(word_model, "BUCKET_BYTES", size)
+        monkeypatch.setattr(word_model, "BLOCK_BYTES", 2 * size)
+        monkeypatch.setattr(word_model, "HELD", size)
+        counts = word_model.count(df, "good")
+        found = [[x if x is None else round(x, 9) for x in r] for r in word_model.score(df, counts, frequent=50).collect()]
+        told.append((counts.totals, sorted(found, key=str)))
+    assert counts.buckets > 50 and counts.blocks > 25
+    assert told[0] == told[1] and len(told[0][1]) == len(rows)
+
+
+def test_bigrams_take_few_bytes(spark):
+    """What is stored of texts whose bigrams mostly occur once."""
+    dice = np.random.default_rng(5)
+    rows = [(k, " ".join(f"w{x}" for x in dice.integers(0, 5_000, 500)), k % 9 == 0) for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, good boolean")
+    start = scratch.made_so_far()
+    counts = word_model.count(df, "good")
+    assert word_model.score(df, counts).count() == len(rows)
+    files = [path for folder in scratch.made_since(start) for path in pathlib.Path(folder.removeprefix("file:")).rglob("*.parquet")]
+    assert files and sum(path.stat().st_size for path in files) < 6 * counts.count()
+
+
+@pytest.mark.parametrize("values", [[], [0, 0], [1, 300, 0], [2**62, 5]])
+def test_packed_values_come_back(values):
+    values = np.array(values, np.int64)
+    assert np.array_equal(word_model.unpacked(pa.chunked_array([[word_model.packed(values)]], pa.binary()))[0], values)
+    keys = np.unique(values.view(np.uint64) * word_model.START)
+    assert np.array_equal(word_model.unpacked_keys(pa.chunked_array([[word_model.packed_keys(keys)]], pa.binary()))[0], keys)
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language.train(docs.where(~language.held_out("doc_id")))
