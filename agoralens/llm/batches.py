@@ -6,8 +6,8 @@ platform's idea of white space. Word hashes are 64-bit polynomial hashes of the
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import NamedTuple
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -139,12 +139,36 @@ def windows(hashes: np.ndarray, size: int, seed: int = 7) -> np.ndarray:
     return mix(total)
 
 
+_kept: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps for the next task of the same work: only the object asked for last."""
+    if key not in _kept:
+        forget()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def forget() -> None:
+    """Give back what this worker kept. Spark hands workers on from stage to stage, so without this the
+    memory of one stage adds to that of all later ones."""
+    if _kept:
+        _kept.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def map_rows(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """`mapInArrow` over whole rows, whose columns may have any names: `run` gets and gives columns in
-    the order of `docs`, under other names."""
+    the order of `docs`, under other names. The worker forgets what it kept for other work."""
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        yield from run(batches)
+
     names = [f"c{i}" for i in range(len(docs.columns))]
     schema = T.StructType([T.StructField(name, f.dataType) for name, f in zip(names, docs.schema.fields)])
-    return docs.toDF(*names).mapInArrow(run, schema).toDF(*docs.columns)
+    return docs.toDF(*names).mapInArrow(alone, schema).toDF(*docs.columns)
 
 
 def string_column(batch: pa.RecordBatch, name: str) -> pa.Array:

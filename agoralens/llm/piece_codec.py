@@ -14,8 +14,8 @@ are compared with those of the sentencepiece library; a difference stops the job
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -24,12 +24,14 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from agoralens.llm.batches import string_column
+from agoralens.llm.batches import kept, string_column
 
 MARK = "▁"
 MATRIX_CHARS = 48
+#: Rows of one matrix; a cell takes some 50 bytes.
+MATRIX_RUNS = 4096
 KNOWN_RUNS = 600_000
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 
 
 class Codec:
@@ -87,7 +89,10 @@ class Codec:
         sides = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         codes = self.letter[np.array([[ord(c) for c in pair] for pair in sides]).reshape(-1, 2)]
         self.meet[codes[:, 0], codes[:, 1]] = True
-        self.known: dict[str, tuple[int, ...]] = {}
+        # Runs with spaces for marks, mostly ASCII then, and their ids as packed numbers: a third less
+        # memory than tuples under marked runs.
+        self.known: dict[str, bytes] = {}
+        self.packed = "H" if size <= 1 << 16 else "I"
         self.digits = [str(i) for i in range(size)]
         self.int = list(range(size))
 
@@ -190,32 +195,39 @@ class Codec:
 
     def runs(self, text: str) -> list[str]:
         """The text with its space marks, cut wherever two characters meet in no piece."""
+        return [run.replace(" ", MARK) for run in self._spaced_runs(text)]
+
+    def _spaced_runs(self, text: str) -> list[str]:
+        """As `runs`, with a space for every mark."""
         if not text:
             return []
-        text = MARK + text.replace(" ", MARK)
-        codes = self.letter[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        marked = MARK + text.replace(" ", MARK)
+        codes = self.letter[np.frombuffer(marked.encode("utf-32-le"), np.uint32)]
         cuts = (np.flatnonzero(~self.meet[codes[:-1], codes[1:]]) + 1).tolist()
+        text = " " + text.replace(MARK, " ")
         return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
 
-    def learn(self, runs: Sequence[str]) -> None:
-        """Encode runs not met before and hold them against the library."""
-        if len(self.known) + len(runs) > KNOWN_RUNS:
+    def learn(self, spaced: Sequence[str]) -> None:
+        """Encode runs not met before (with spaces for marks) and hold them against the library."""
+        if len(self.known) + len(spaced) > KNOWN_RUNS:
             self.known.clear()
         groups: dict[int, list[str]] = {}
-        for run in runs:
+        for run in spaced:
             groups.setdefault(max(4, 1 << (len(run) - 1).bit_length()), []).append(run)
-        for width, group in groups.items():
+        parts = ((width, group[at : at + MATRIX_RUNS]) for width, group in groups.items() for at in range(0, len(group), MATRIX_RUNS))
+        for width, group in parts:
+            marked = [run.replace(" ", MARK) for run in group]
             if width > MATRIX_CHARS:
-                ids = [self.encode_long(run) for run in group]
+                ids = [self.encode_long(run) for run in marked]
             else:
-                ids = self.encode_short(group)
+                ids = self.encode_short(marked)
             if self.checked:
                 # After a line feed no space mark is added, so the library sees the run itself.
-                theirs = self.library.encode(["\n" + run.replace(MARK, " ") for run in group], num_threads=1)
+                theirs = self.library.encode(["\n" + run for run in group], num_threads=1)
                 for run, a, b in zip(group, ids, theirs):
                     if list(a) != b[2:]:
                         raise ValueError(f"ids of {run!r} differ: {list(a)} and {b[2:]}")
-            self.known.update(zip(group, ids))
+            self.known.update((run, array(self.packed, own).tobytes()) for run, own in zip(group, ids))
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[list[int]]:
         """Ids of each text; a NULL has none."""
@@ -226,16 +238,17 @@ class Codec:
             while last < len(texts) and (last == first or chars + len(texts[last]) <= BATCH_CHARS):
                 chars += len(texts[last])
                 last += 1
-            cut = [self.runs(t) for t in texts[first:last]]
+            cut = [self._spaced_runs(t) for t in texts[first:last]]
             runs = set(chain.from_iterable(cut))
             new = [run for run in runs if run not in self.known]
             if len(self.known) + len(new) > KNOWN_RUNS:
                 self.known.clear()
                 new = list(runs)
             self.learn(new)
-            known = self.known
+            del runs, new
+            known, number = self.known, self.int.__getitem__
             for own in cut:
-                yield list(chain.from_iterable([known[run] for run in own]))
+                yield list(map(number, array(self.packed, b"".join([known[run] for run in own]))))
             first = last
 
     def decode(self, ids: Sequence[int]) -> str:
@@ -245,10 +258,9 @@ class Codec:
         return raw[raw[:1] == b" " :].decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def codec(model: str, checked: bool = True) -> Codec:
-    """One per Python worker and model; the file is on every machine."""
-    return Codec(model, checked)
+    """One per Python worker and model, until the worker gets other work; the file is on every machine."""
+    return kept(("codec", model, checked), lambda: Codec(model, checked))
 
 
 Derive = Callable[[Codec, list[list[int]], list[str]], list[pa.Array]]
@@ -272,6 +284,7 @@ def encode_decode(
                 ids = list(coder.encode(string_column(part, text_col).to_pylist()))
                 columns = derive(coder, ids, coder.library.decode(ids, num_threads=1))
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=[id_col, *names])
+                pa.default_memory_pool().release_unused()
 
     kind = docs.schema[id_col].dataType.simpleString()
     names = [c.split()[0] for c in schema.split(", ")]

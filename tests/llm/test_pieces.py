@@ -1,9 +1,15 @@
+import gc
+import sys
+
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
 from agoralens.llm import piece_codec
+from agoralens.llm.batches import map_rows
 from tests.conftest import rows
+from tests.llm.conftest import words
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -57,3 +63,23 @@ def test_decode_of_any_ids(spark, library):
     df = spark.createDataFrame([(i, x) for i, x in enumerate(ids)], "doc_id long, ids array<int>")
     expected = [(i, None if x is None else library.decode(x)) for i, x in enumerate(ids)]
     assert rows(piece_codec.decode(df, MODEL)) == sorted(expected)
+
+
+def test_other_work_frees_the_codec(spark):
+    """A worker that goes on to another stage holds no codec any more."""
+    docs = spark.range(0, 200, 1, 8).selectExpr("id AS doc_id", "concat('text number ', id) AS text")
+    assert len(piece_codec.encode(docs, MODEL).collect()) == 200
+
+    def held(batches):
+        n = sum(isinstance(x, piece_codec.Codec) for x in gc.get_objects())
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64()), batch.column(1)], names=batch.schema.names)
+
+    assert {r.doc_id for r in map_rows(docs, held).collect()} == {0}
+
+
+def test_remembered_runs_are_small(library):
+    coder = piece_codec.Codec(MODEL)
+    texts = [" ".join(words(5, 2_000))]
+    assert list(coder.encode(texts)) == library.encode(texts)
+    assert sum(map(sys.getsizeof, [*coder.known, *coder.known.values()])) < 120 * len(coder.known)
