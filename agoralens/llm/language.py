@@ -7,14 +7,15 @@ regression per language on those features gives the scores. All fitting is on a
 
 Scores only tell learned languages apart: a text in another one is nearer to some of them than to the
 rest. What gives it away are its 3-grams that no landmark has, so a text is taken for one of a learned
-language if its share of known 3-grams could be as large as that of nearly all learned texts.
+language if its share of known 3-grams could be as large as that of nearly all learned texts and its
+best score is not lower than theirs.
 Characters are folded to 64 symbols by a fixed rule: a-z, 37 classes of other letters, one for all
 else.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -64,13 +65,15 @@ def _distinct(codes: np.ndarray, k: int) -> np.ndarray:
 
 class Model(NamedTuple):
     """`columns[n]`: landmark column of each gram or -1; `present[n]`: grams by landmarks, already
-    divided by the root of each landmark's number of grams; `weights`: landmarks by languages."""
+    divided by the root of each landmark's number of grams; `weights`: landmarks by languages; `lowest`
+    and `least`: bounds on the share of known 3-grams and on the best score of texts in a learned language."""
 
     languages: list[str]
     columns: list[np.ndarray]
     present: list[np.ndarray]
     weights: np.ndarray
     lowest: float = 0.0
+    least: float = 0.0
 
     def known(self, own: list[np.ndarray]) -> tuple[int, int]:
         """How many of a text's 3-grams some landmark has, and how many it has."""
@@ -102,6 +105,8 @@ SLACK = 2.5
 #: The bound: this quantile of the shares of learned texts that are no landmarks, less the margin and,
 #: as a quantile of few texts says little, less 1 / the root of their number.
 QUANTILE, MARGIN = 0.001, 0.02
+#: A best score that no text needs to pass, as scores are shared out among the languages.
+LEAST_SCORE = 0.2
 
 
 def upper_share(known: int, n: int) -> float:
@@ -112,6 +117,11 @@ def upper_share(known: int, n: int) -> float:
     return (p + z * z / (2 * n) + z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
+def _bound(values: Sequence[float]) -> float:
+    """What learned texts with these values reach, but for very few."""
+    return max(0.0, float(np.quantile(values, QUANTILE)) - MARGIN - len(values) ** -0.5) if len(values) else 0.0
+
+
 def fit(samples: list[tuple[str, list[np.ndarray]]], landmarks: int = 160, ridge: float = 1e-3) -> Model:
     """`samples`: language and grams of each text. Landmarks are spread evenly over languages."""
     languages = sorted({lang for lang, _ in samples})
@@ -144,8 +154,13 @@ def fit(samples: list[tuple[str, list[np.ndarray]]], landmarks: int = 160, ridge
     solved = np.linalg.solve(z.T @ (z * weight[:, None]) + ridge * np.eye(z.shape[1]), z.T @ (y * weight[:, None]))
     others = [g for lang in languages for g in by_language[lang][each:]]
     shares = [model.known(g)[0] / max(1, len(g[2])) for g in others]
-    lowest = max(0.0, float(np.quantile(shares, QUANTILE)) - MARGIN - len(shares) ** -0.5) if shares else 0.0
-    return model._replace(weights=(root @ solved).astype(np.float32), lowest=lowest)
+    seen, spare = dict.fromkeys(languages, 0), []
+    for lang, _ in samples:
+        spare.append(seen[lang] >= each)
+        seen[lang] += 1
+    best = (z @ solved).max(axis=1)[spare]
+    least = min(LEAST_SCORE, _bound(best))
+    return model._replace(weights=(root @ solved).astype(np.float32), lowest=_bound(shares), least=least)
 
 
 def _grams_of(texts: pa.Array) -> Iterator[list[np.ndarray]]:
@@ -196,6 +211,24 @@ def train(
     return fit(kept, landmarks)
 
 
+def _judged(texts: pa.Array, model: Model) -> Iterator[tuple[list[np.ndarray], str, float]]:
+    """Grams, predicted language and score of each text, in order."""
+
+    def scored(block: list[list[np.ndarray]]) -> Iterator[tuple[list[np.ndarray], str, float]]:
+        for own, v in zip(block, model.scores(block)):
+            best = int(v.argmax()) if len(v) and len(own[0]) else -1
+            yield (own, model.languages[best], float(min(1.0, max(0.0, v[best])))) if best >= 0 else (own, "und", 0.0)
+
+    block: list[list[np.ndarray]] = []
+    for own in _grams_of(texts):
+        block.append(own)
+        if len(block) == BLOCK:
+            yield from scored(block)
+            block = []
+    if block:
+        yield from scored(block)
+
+
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`id_col`, `lang_pred` and `score` (0 to 1) of every whole text, one row per input row.
 
@@ -205,23 +238,9 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, scores = [], []
-            block: list[list[np.ndarray]] = []
-
-            def finish() -> None:
-                if not block:
-                    return
-                values = model.scores(block)
-                for own, v in zip(block, values):
-                    best = int(v.argmax()) if len(v) and len(own[0]) else -1
-                    names.append(model.languages[best] if best >= 0 else "und")
-                    scores.append(float(min(1.0, max(0.0, v[best]))) if best >= 0 else 0.0)
-                block.clear()
-
-            for own in _grams_of(string_column(batch, text_col)):
-                block.append(own)
-                if len(block) == BLOCK:
-                    finish()
-            finish()
+            for _, name, score in _judged(string_column(batch, text_col), model):
+                names.append(name)
+                scores.append(score)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[id_col, "lang_pred", "score"]
             )
@@ -231,14 +250,18 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
 
 
 def only_learned(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose text may be in a learned language, row by row and with all columns. Texts
-    that are NULL or have no letter go, and all if nothing was learned."""
+    """The rows of `docs` whose text is taken for one of a learned language, row by row and with all columns:
+    the language and score that `predict` gives are found for every text, and a text stays if its score is
+    not below `least` and its 3-grams may be those of a learned language. Texts that are NULL or have no
+    letter go, and all if nothing was learned."""
 
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([model.learned(own) for own in _grams_of(batch.column(at))], pa.bool_()))
+            found = _judged(batch.column(at), model)
+            kept = [name != "und" and score >= model.least and model.learned(own) for own, name, score in found]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return map_rows(docs, run)
 

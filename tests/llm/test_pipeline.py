@@ -6,7 +6,7 @@ import sentencepiece
 sys.path.insert(0, ".")
 import corpus_pipeline as pipeline  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
-from agoralens.llm import questions  # noqa: E402
+from agoralens.llm import language, questions  # noqa: E402
 from agoralens.sources import scratch  # noqa: E402
 from tests.compare import connect, difference  # noqa: E402
 from tests.llm.test_minhash import brute  # noqa: E402
@@ -84,6 +84,23 @@ def test_unlearned_languages_go(spark):
     assert sum(t in texts for t in clean) >= 0.999 * len(clean)
 
 
+def test_language_stage_goes_by_predictions(spark):
+    """A text stays by its predicted language and score, not by its 3-grams alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.train(docs.where(~language.held_out("doc_id")))
+    few = docs.limit(20).withColumn("a.b", F.lit(1))
+    assert 0 < model.least <= language.LEAST_SCORE
+    assert language.only_learned(few, model).count() == 20
+    assert language.only_learned(few, model._replace(weights=0 * model.weights)).count() == 0
+    odd = spark.createDataFrame([(-1, "a", None, "x", 1), (-2, "The a", None, "x", 5), (-3, None, None, "x", 0)], docs.schema)
+    every = docs.unionByName(odd)
+    kept = {r.doc_id for r in pipeline.known_language(spark, every, SF).select("doc_id").collect()}
+    found = {r.doc_id: r for r in language.predict(every, model).collect()}
+    assert found[-1].score < model.least and -1 not in kept and -3 not in kept
+    assert all(found[i].lang_pred != "und" and found[i].score >= model.least for i in kept)
+    assert len(kept) >= docs.count() - 2
+
+
 def test_dotted_names_and_no_ids(spark):
     """All stages keep rows without ids and columns of any name; their inner tables are deleted."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("a.b", F.lit("x"))
