@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import LDA, LDAModel, LocalLDAModel
 from pyspark.ml.common import _py2java
 from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, RegexTokenizer
@@ -32,12 +34,26 @@ def word_tokens(df: DataFrame, text: str = "clean_text", tokens: str = "tokens")
 
 
 def frequent_words(df: DataFrame, tokens: str, size: int, min_docs: int) -> DataFrame:
-    """(word, n) of the `size` most frequent words found in at least `min_docs` documents."""
-    found = each_word(df, tokens).select("word", F.lit(1).alias("n"), F.lit(0).alias("docs"))
-    held = each_word(df, F.array_distinct(tokens)).select(
-        "word", F.lit(0).alias("n"), F.lit(1).alias("docs")
-    )
-    counted = found.union(held).groupBy("word").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    """(word, n) of the `size` most frequent words found in at least `min_docs` documents.
+
+    Words are added up per Arrow batch before they are rows, so a token costs no row of its own.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            coded = lists.flatten().dictionary_encode()
+            word, codes = coded.dictionary, coded.indices
+            real = codes.is_valid().to_numpy(zero_copy_only=False)
+            codes = codes.fill_null(0).to_numpy()[real]
+            rows = pc.list_parent_indices(lists).to_numpy()[real]
+            n = np.bincount(codes, minlength=len(word))
+            # Once for each document and word.
+            docs = np.bincount(np.unique(rows * len(word) + codes) % max(1, len(word)), minlength=len(word))
+            yield pa.RecordBatch.from_arrays([word, pa.array(n), pa.array(docs)], names=["word", "n", "docs"])
+
+    found = df.select(tokens).mapInArrow(run, "word string, n long, docs long").where("word != ''")
+    counted = found.groupBy("word").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     kept = counted.where(F.col("docs") >= min_docs)
     return kept.orderBy(F.desc("n"), "word").limit(size).select("word", "n")
 

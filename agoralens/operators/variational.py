@@ -21,8 +21,8 @@ from agoralens.sources.scratch import new_folder
 SETTLED = 1e-3
 #: Shape of the distribution that starting weights are drawn from; its mean is 1.
 START_SHAPE = 100.0
-#: Cells (words of a document times topics) of a block: 1 MB.
-BLOCK_CELLS = 1 << 17
+#: Cells (words of a document times topics) of a block: 4 MB.
+BLOCK_CELLS = 1 << 19
 #: What keeps probabilities of words from being 0.
 TINY = 1e-100
 #: i * (7 - i) for i below 4.
@@ -42,6 +42,42 @@ def digamma(x: np.ndarray) -> np.ndarray:
     return np.log(y) - (below + s * (0.5 + s * tail))
 
 
+def exp_digamma(x: np.ndarray) -> np.ndarray:
+    """e to the power of `digamma`, in few calls on whole arrays and with one logarithm less."""
+    # The sum of 1 / (x + i) for i below 8 is (2 x + 7) times a ratio of polynomials in x (x + 7).
+    u = x + 7
+    u *= x
+    below = u * 4
+    over = u + 28
+    for c, d in ((84, 252), (504, 720)):
+        below += c
+        below *= u
+        over *= u
+        over += d
+    below += 720
+    over *= u
+    below /= over
+    over = 2 * x
+    over += 7
+    below *= over
+    y = x + 8
+    s = 1 / y
+    r = s * s
+    tail = r * (-691 / 32760)
+    tail += 1 / 132
+    for c in (-1 / 240, 1 / 252, -1 / 120, 1 / 12):
+        tail *= r
+        tail += c
+    tail *= s
+    tail += 0.5
+    tail *= s
+    tail += below
+    np.negative(tail, out=tail)
+    np.exp(tail, out=tail)
+    tail *= y
+    return tail
+
+
 def trigamma(x: np.ndarray) -> np.ndarray:
     """The derivative of `digamma`, for x > 0."""
     x = np.asarray(x, float)
@@ -70,25 +106,19 @@ def settle(
     `words` (document, topic, word) are the topics' factors of the words, `times` (document, word) how
     often these are there: 0 for what only fills the block up. Returns which documents are settled, all
     weights, and for the settled ones factors of their topics and words, of which products go into the
-    topics. Documents that are not can go on from their weights.
+    topics: a factor that all topics of a document share falls out of them. Documents that are not settled
+    can go on from their weights.
     """
-
-    def factors(now: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        theta = np.exp(expected_logs(now))
-        return theta, times / (np.matmul(theta[:, None, :], words)[:, 0, :] + TINY)
-
     n, k = weights.shape
     each = np.full(k, 1 / k)
     settled, weights, thetas, ratios = np.zeros(n, bool), weights.copy(), np.empty((n, k)), np.empty(times.shape)
-    left, done, now = np.arange(n), np.zeros(n, bool), weights
-    theta, ratio = factors(now)
+    left, done, new, now = np.arange(n), np.zeros(n, bool), np.zeros(n, bool), weights
     while n > enough:
-        before = now
-        now = theta * np.matmul(words, ratio[:, :, None])[:, :, 0] + alpha
-        theta, ratio = factors(now)
-        new = np.abs(now - before) @ each <= SETTLED
-        new &= ~done
-        if np.count_nonzero(new):
+        theta = exp_digamma(now)
+        ratio = np.matmul(theta[:, None, :], words)[:, 0, :]
+        ratio += TINY
+        np.divide(times, ratio, out=ratio)
+        if new.any():
             at = left[new]
             settled[at], weights[at], thetas[at], ratios[at] = True, now[new], theta[new], ratio[new]
             done |= new
@@ -98,6 +128,16 @@ def settle(
                 go = ~done
                 left, now, theta, ratio = left[go], now[go], theta[go], ratio[go]
                 words, times, done = words[go], times[go], done[go]
+            if n <= enough:
+                break
+        before = now
+        now = np.matmul(words, ratio[:, :, None])[:, :, 0]
+        now *= theta
+        now += alpha
+        change = now - before
+        np.abs(change, out=change)
+        new = change @ each <= SETTLED
+        new &= ~done
     go = ~done
     weights[left[go]] = now[go]
     return settled, weights, thetas, ratios

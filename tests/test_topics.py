@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from agoralens.operators import topics
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 @pytest.fixture(scope="module")
@@ -98,6 +98,39 @@ def test_settled_documents_do_not_depend_on_their_block():
     assert np.allclose(rest[1], weights[~some])
 
 
+def test_frequent_words_count_in_batches(spark):
+    """Tokens are added up before they are rows; documents with a word count once, in any batch."""
+    texts = [(["a", "a", "b"],), (["b", None, ""],), (None,), ([],), (["a", "c", "c", "c"],), (["d"],)]
+    df = spark.createDataFrame(texts * 30, "tokens array<string>").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = topics.frequent_words(df, "tokens", 3, 31)
+        assert [tuple(r) for r in found.collect()] == [("a", 90), ("b", 60)]
+        assert "Generate" not in plan(found)
+        found = topics.frequent_words(df, "tokens", 3, 30)
+        assert [tuple(r) for r in found.collect()] == [("a", 90), ("c", 90), ("b", 60)]
+        assert topics.frequent_words(df.limit(0), "tokens", 3, 0).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_few_calls_per_step(monkeypatch):
+    """A step takes one exponential of digammas and two products for a whole block, and blocks hold so many
+    documents that those calls are few."""
+    from agoralens.operators import variational
+
+    random = np.random.default_rng(1)
+    words, times = random.gamma(1, 1, (40, 3, 12)), random.integers(1, 4, (40, 12)).astype(float)
+    calls = []
+    plain = variational.exp_digamma
+    monkeypatch.setattr(variational, "exp_digamma", lambda x: (calls.append(len(x)), plain(x))[1])
+    monkeypatch.setattr(variational, "expected_logs", None)
+    settled, *_ = variational.settle(words, times, np.ones((40, 3)), np.full(3, 0.1))
+    assert settled.all() and calls[0] == 40
+    assert len(next(variational._blocks(np.full(500, 220), 15))) > 150
+
+
 def test_digamma():
     from agoralens.operators import variational
 
@@ -106,6 +139,7 @@ def test_digamma():
     assert variational.trigamma(np.array([1.0, 0.5])) == pytest.approx([np.pi**2 / 6, np.pi**2 / 2], abs=1e-12)
     x = np.array([1e-8, 1e-3, 0.1, 3.0, 1e3, 1e8])
     assert variational.digamma(x + 1) - variational.digamma(x) == pytest.approx(1 / x, rel=1e-6)
+    assert variational.exp_digamma(x[1:]) == pytest.approx(np.exp(variational.digamma(x[1:])), rel=1e-12, abs=1e-300)
 
 
 def test_ranked_words(spark):
