@@ -139,7 +139,13 @@ def test_digamma():
     assert variational.trigamma(np.array([1.0, 0.5])) == pytest.approx([np.pi**2 / 6, np.pi**2 / 2], abs=1e-12)
     x = np.array([1e-8, 1e-3, 0.1, 3.0, 1e3, 1e8])
     assert variational.digamma(x + 1) - variational.digamma(x) == pytest.approx(1 / x, rel=1e-6)
-    assert variational.exp_digamma(x[1:]) == pytest.approx(np.exp(variational.digamma(x[1:])), rel=1e-12, abs=1e-300)
+
+
+def test_exp_digamma():
+    from agoralens.operators import variational
+
+    x = np.array([[1e-3, 0.0667, 0.5], [3.0, 1e3, 1e8]])
+    assert variational.exp_digamma(x) == pytest.approx(np.exp(variational.digamma(x)), rel=1e-12, abs=1e-300)
 
 
 def test_ranked_words(spark):
